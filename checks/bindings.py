@@ -42,7 +42,7 @@ def day(text: str) -> Column:
 
 
 def first_day(unit: str, column: str) -> Column:
-    return F.date_trunc(unit, column).cast("date")
+    return F.trunc(F.col(column).cast("date"), unit)
 
 
 def bonds(t: Tables) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
 from checks import bindings as b
@@ -256,9 +256,14 @@ def wavg_rate(t):
         F.sum("trade_amnt").alias("amount"))
 
 
+def _labelled_deals(t: Tables) -> DataFrame:
+    inputs = b.bond_inputs(t)
+    return bond.with_strategy(bond.clean_deals(inputs), inputs)
+
+
 @query
 def wavg_conditional(t):
-    deals = bond.clean_deals(b.bond_inputs(t))
+    deals = _labelled_deals(t)
     rate, weight = F.col("ytm_rate"), F.col("trade_amnt")
     return deals.groupBy("bond_id").agg(
         weighted_average(rate, weight, bond.is_normal()).alias("normal_rate"),
@@ -279,7 +284,7 @@ def distinct_deals(t):
 
 @query
 def trade_kind_counts(t):
-    return bond.clean_deals(b.bond_inputs(t)).groupBy("strategy").agg(
+    return _labelled_deals(t).groupBy("strategy").agg(
         F.count_if(bond.is_normal()).alias("trade_normal"),
         F.count_if(~bond.is_normal()).alias("trade_smart"))
 
@@ -414,33 +419,36 @@ def base_r1(t):
 
 # ---------------------------------------------------------------- bond reports
 
-def _bond_report(name: str, build) -> None:
-    def from_deals(t):
+def _bond_report(name: str, build, *steps) -> None:
+    """Register a report; each step turns the deals into the relation it starts from."""
+    def report(t):
         inputs = b.bond_inputs(t)
-        return build(bond.clean_deals(inputs), inputs)
+        relation = bond.clean_deals(inputs)
+        for step in steps:
+            relation = step(relation, inputs)
+        return build(relation, inputs)
 
-    from_deals.__name__ = name
-    query(from_deals)
+    report.__name__ = name
+    query(report)
 
 
-def _position_report(name: str, build) -> None:
-    def from_positions(t):
-        inputs = b.bond_inputs(t)
-        return build(bond.positions(bond.clean_deals(inputs)), inputs)
+def _positions(deals, inputs):
+    return bond.positions(deals)
+
 
-    from_positions.__name__ = name
-    query(from_positions)
+def _yields(deals, inputs):
+    return bond.position_yields(deals)
 
 
 _bond_report("m01_xbond_info", bond.xbond_info)
 _bond_report("m02_bond_bsc_info", bond.bond_bsc_info)
 _bond_report("m03_bond_turnover_rate", bond.bond_turnover_rate)
-_position_report("m04_bond_income", bond.bond_income)
-_bond_report("m05_bond_deal_trend", bond.bond_deal_trend)
-_position_report("m06_bond_deal_trend_org", bond.bond_deal_trend_org)
-_position_report("m07_bond_deal_orgtype", bond.bond_deal_orgtype)
-_position_report("m08_bond_deal_orglist", bond.bond_deal_orglist)
-_bond_report("m09_bond_deal_smart", bond.bond_deal_smart)
+_bond_report("m04_bond_income", bond.bond_income, _positions)
+_bond_report("m05_bond_deal_trend", bond.bond_deal_trend, bond.with_strategy)
+_bond_report("m06_bond_deal_trend_org", bond.bond_deal_trend_org, bond.with_strategy, _yields)
+_bond_report("m07_bond_deal_orgtype", bond.bond_deal_orgtype, _positions)
+_bond_report("m08_bond_deal_orglist", bond.bond_deal_orglist, _positions)
+_bond_report("m09_bond_deal_smart", bond.bond_deal_smart, bond.with_strategy)
 
 
 # ---------------------------------------------------------------- repo reports

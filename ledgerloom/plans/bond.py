@@ -7,7 +7,7 @@ the bond table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions import labels
 from ledgerloom.functions.measures import quotient, ratio, sum_if, weighted_average
@@ -28,7 +28,7 @@ def is_normal() -> Column:
 # ---------------------------------------------------------------- base relations
 
 def clean_deals(inputs: BondInputs) -> DataFrame:
-    """T1 without the bond attributes: valid deals with their strategy label.
+    """T1 without the looked-up attributes: the valid deals.
 
     Dropped are withdrawn deals (status compared as text), other currencies and
     deals on the removal list.
@@ -37,7 +37,11 @@ def clean_deals(inputs: BondInputs) -> DataFrame:
     deals = inputs.deals.where(
         (F.col("st") != inputs.withdrawn) & (currency.contains("CNY") | currency.contains("-"))
     )
-    deals = drop_listed(deals, inputs.removed, "bond_deal_id", "deal_id")
+    return drop_listed(deals, inputs.removed, "bond_deal_id", "deal_id")
+
+
+def with_strategy(deals: DataFrame, inputs: BondInputs) -> DataFrame:
+    """Strategy label of each deal, for the reports that tell normal trades apart."""
     strategies = inputs.strategies.select(
         "deal_nmbr", labels.strategy_label(F.col("deal_strategy")).alias("strategy")
     )
@@ -45,8 +49,8 @@ def clean_deals(inputs: BondInputs) -> DataFrame:
 
 
 def enriched_deals(inputs: BondInputs) -> DataFrame:
-    """T1 in full: deals with bond, custodian, tenor and the types of both parties."""
-    deals = clean_deals(inputs).withColumn("tenor", tenor()).join(
+    """T1 in full: deals with strategy, bond, custodian, tenor and the types of both parties."""
+    deals = with_strategy(clean_deals(inputs), inputs).withColumn("tenor", tenor()).join(
         bond_attributes(inputs).select("bond_id", "bond_cd", "bond_nm", "bond_ctgry_nm2", "cstdn"),
         "bond_id",
     )
@@ -76,32 +80,45 @@ def bond_attributes(inputs: BondInputs) -> DataFrame:
 
 
 def positions(deals: DataFrame) -> DataFrame:
-    """T2: buy and sell measures per (date, bond, institution).
+    """T2: buy and sell amounts per (date, bond, institution).
 
     Each deal gives a buy leg and a sell leg; one grouped aggregation then does what
     a full outer join of a buy and a sell aggregate would, with one shuffle.
-    Yields before cleansing (bf) cover all trades, after cleansing (af) normal ones.
     """
-    normal = is_normal()
-    sided = expansion.legs(
-        deals, SIDES,
-        keep=["deal_dt", "bond_id", "dirty_amnt", "face_amnt", "trade_amnt", "ytm_rate", "strategy"],
-        own=["id"],
-    ).where(F.col("id").isNotNull())
-
     def measures(side):
         on_side = F.col("side") == side
         return [
             _or_zero(sum_if(on_side, F.col("dirty_amnt"))).alias(f"{side}_act_all"),
             _or_zero(sum_if(on_side, F.col("face_amnt"))).alias(f"{side}_paper_all"),
-            _or_zero(weighted_average(F.col("ytm_rate"), F.col("trade_amnt"), on_side))
-            .alias(f"{side}_ytm_rate_bf"),
-            _or_zero(weighted_average(F.col("ytm_rate"), F.col("trade_amnt"), on_side & normal))
-            .alias(f"{side}_ytm_rate_af"),
         ]
 
-    return sided.groupBy("deal_dt", "bond_id", F.col("id").alias("org_id")).agg(
-        *measures("buy"), *measures("sell")
+    return _by_position(deals, ["dirty_amnt", "face_amnt"], measures)
+
+
+def position_yields(deals: DataFrame) -> DataFrame:
+    """T2, yields: weighted by trade amount per (date, bond, institution) and side.
+
+    Before cleansing (bf) all trades count, after cleansing (af) normal ones.
+    """
+    rate, weight = F.col("ytm_rate"), F.col("trade_amnt")
+
+    def measures(side):
+        on_side = F.col("side") == side
+        normal = on_side & is_normal()
+        return [
+            _or_zero(weighted_average(rate, weight, on_side)).alias(f"{side}_ytm_rate_bf"),
+            _or_zero(weighted_average(rate, weight, normal)).alias(f"{side}_ytm_rate_af"),
+        ]
+
+    return _by_position(deals, ["trade_amnt", "ytm_rate", "strategy"], measures)
+
+
+def _by_position(deals, columns, measures):
+    sided = expansion.legs(deals, SIDES, ["deal_dt", "bond_id", *columns], own=["id"])
+    return (
+        sided.where(F.col("id").isNotNull())
+        .groupBy("deal_dt", "bond_id", F.col("id").alias("org_id"))
+        .agg(*[m for side in SIDES for m in measures(side)])
     )
 
 
@@ -110,7 +127,7 @@ def collateral_rate(repo_deals: DataFrame, collateral: DataFrame) -> DataFrame:
 
     The share is the line's face value in the face value of the instrument over all
     dates. That total is the same for all lines of an instrument, so it is divided
-    out after the aggregation, where an instrument has one row per date.
+    out after the aggregation: the window sees one row per instrument and date.
     """
     lines = collateral.where(F.col("ri_id") != F.lit("0").cast(collateral.schema["ri_id"].dataType))
     weighted_face = (F.col("cnvrsn_prprtn") * F.col("total_face_value")).cast("decimal(19,6)")
@@ -123,9 +140,9 @@ def collateral_rate(repo_deals: DataFrame, collateral: DataFrame) -> DataFrame:
             F.sum("trade_amnt").alias("amount"),
         )
     )
-    totals = daily.groupBy("ri_id").agg(F.sum("face").alias("total_face"))
-    rate = ratio(quotient(F.col("weighted"), F.col("total_face")), F.col("amount"))
-    return daily.join(totals, "ri_id").select("ri_id", "deal_dt", _or_zero(rate).alias("zy_rate"))
+    total_face = F.sum("face").over(Window.partitionBy("ri_id"))
+    rate = ratio(quotient(F.col("weighted"), total_face), F.col("amount"))
+    return daily.select("ri_id", "deal_dt", _or_zero(rate).alias("zy_rate"))
 
 
 def _or_zero(measure: Column) -> Column:
@@ -227,9 +244,9 @@ def bond_deal_trend(deals: DataFrame, inputs: BondInputs) -> DataFrame:
     )
 
 
-def bond_deal_trend_org(held: DataFrame, inputs: BondInputs) -> DataFrame:
+def bond_deal_trend_org(yields: DataFrame, inputs: BondInputs) -> DataFrame:
     """BOND_DEAL_TREND_ORG: buy and sell yields per institution, all and normal trades."""
-    named = _with_show_name(_with_bond(held, inputs, "bond_cd", "bond_nm"), inputs)
+    named = _with_show_name(_with_bond(yields, inputs, "bond_cd", "bond_nm"), inputs)
     return named.select(
         *POSITION_KEYS, "bond_cd", "bond_nm", "ins_show_name",
         "buy_ytm_rate_bf", "buy_ytm_rate_af", "sell_ytm_rate_bf", "sell_ytm_rate_af",
@@ -268,16 +285,21 @@ def bond_deal_smart(deals: DataFrame, inputs: BondInputs) -> DataFrame:
     )
 
 
+# Reports by the relation they start from; deals with strategy serve all of the first.
 FROM_DEALS = {
     "XBOND_INFO": xbond_info,
     "BOND_BSC_INFO": bond_bsc_info,
     "BOND_TURNOVER_RATE": bond_turnover_rate,
+}
+FROM_LABELLED_DEALS = {
     "BOND_DEAL_TREND": bond_deal_trend,
     "BOND_DEAL_SMART": bond_deal_smart,
 }
 FROM_POSITIONS = {
     "BOND_INCOME": bond_income,
-    "BOND_DEAL_TREND_ORG": bond_deal_trend_org,
     "BOND_DEAL_ORGTYPE": bond_deal_orgtype,
     "BOND_DEAL_ORGLIST": bond_deal_orglist,
 }
+FROM_YIELDS = {
+    "BOND_DEAL_TREND_ORG": bond_deal_trend_org,
+}
