@@ -6,27 +6,52 @@ suppliers and parts bonds. Some reference rows are left out so that lookups miss
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.plans.inputs import BondInputs, RepoInputs
-from ledgerloom.session import tune
+from ledgerloom.session import broadcast_if_small, tune
 
 BOND_CATEGORIES = (
     "国债", "政策性金融债", "同业存单", "短期融资券", "超短期融资券", "地方政府债", "企业债", "中期票据",
 )
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 class Tables:
-    """Parquet tables of one folder; remembers which ones a query reads."""
+    """Parquet tables of one folder; remembers which ones a query reads.
+
+    Declared schemas save a job per table that would only look at file footers.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder, self.read = spark, folder.rstrip("/"), {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
+        if name not in SCHEMAS:
             raise AttributeError(name)
         if name not in self.read:
-            self.read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            reader = self.spark.read.schema(SCHEMAS[name])
+            self.read[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self.read[name]
 
     def tune(self) -> None:
@@ -99,7 +124,9 @@ def bond_deals(t: Tables) -> DataFrame:
     # the buyer joins the orders first: line items are shuffled once, by order
     buyers = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "c_nationkey")
-    return t.lineitem.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    deals = t.lineitem.join(
+        broadcast_if_small(buyers), F.col("l_orderkey") == F.col("o_orderkey"))
+    return deals.select(
         F.col("l_orderkey").alias("bond_deal_id"),
         F.col("l_orderkey").alias("deal_nmbr"),
         F.col("c_nationkey").alias("buyer_id"),
@@ -176,21 +203,52 @@ def trades(t: Tables) -> DataFrame:
         F.concat("o_orderstatus", F.substring("o_orderpriority", 1, 1)).alias("bond_id"))
 
 
+class BoundBondInputs:
+    """BondInputs over the test tables; a frame is built when a plan first asks for it."""
+
+    withdrawn = "R"
+
+    def __init__(self, t: Tables):
+        self.tables = t
+
+    deals = cached_property(lambda self: bond_deals(self.tables))
+    bonds = cached_property(lambda self: bonds(self.tables))
+    orgs = cached_property(lambda self: orgs(self.tables))
+    strategies = cached_property(lambda self: strategies(self.tables))
+    removed = cached_property(lambda self: removed(self.tables))
+    members = cached_property(lambda self: institutions(self.tables))
+    methods = cached_property(lambda self: methods(self.tables))
+    repo_deals = cached_property(
+        lambda self: repo_deals(self.tables).select("ev_id", "deal_dt", "trade_amnt"))
+    collateral = cached_property(lambda self: collateral(self.tables))
+
+
+class BoundRepoInputs:
+    """RepoInputs over the test tables, built on demand."""
+
+    withdrawn = "P"
+    fund_marker = "7"
+
+    def __init__(self, t: Tables):
+        self.tables = t
+
+    deals = cached_property(lambda self: repo_deals(self.tables))
+    members = cached_property(lambda self: repo_members(self.tables))
+    confirmed = cached_property(
+        lambda self: strategies(self.tables).select(F.col("deal_nmbr").alias("ev_id")))
+    ratings = cached_property(lambda self: ratings(self.tables))
+    banks = cached_property(lambda self: bank_deals(self.tables))
+    bonds = cached_property(lambda self: raw_collateral_bonds(self.tables))
+    collateral = cached_property(
+        lambda self: collateral(self.tables).withColumnRenamed("ri_id", "bond_id"))
+
+
 def bond_inputs(t: Tables) -> BondInputs:
-    return BondInputs(
-        deals=bond_deals(t), bonds=bonds(t), orgs=orgs(t), strategies=strategies(t),
-        removed=removed(t), members=institutions(t), methods=methods(t),
-        repo_deals=repo_deals(t).select("ev_id", "deal_dt", "trade_amnt"),
-        collateral=collateral(t), withdrawn="R")
+    return BoundBondInputs(t)
 
 
 def repo_inputs(t: Tables) -> RepoInputs:
-    return RepoInputs(
-        deals=repo_deals(t), members=repo_members(t),
-        confirmed=strategies(t).select(F.col("deal_nmbr").alias("ev_id")),
-        ratings=ratings(t), banks=bank_deals(t), bonds=raw_collateral_bonds(t),
-        collateral=collateral(t).withColumnRenamed("ri_id", "bond_id"),
-        withdrawn="P", fund_marker="7")
+    return BoundRepoInputs(t)
 
 
 def event_lines(t: Tables) -> DataFrame:

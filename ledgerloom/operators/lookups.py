@@ -1,14 +1,16 @@
 """Joins against reference data.
 
-No helper carries a broadcast hint: Spark broadcasts a side that its size estimate
-shows to be small and shuffles otherwise, where AQE splits a hot key. All of them
-keep the fact table on the left, the side AQE can split for every join type used.
+Reference tables are broadcast up to a checked size and shuffled beyond it. Lists of
+deals are left to Spark's own estimate. The fact table stays on the left, the side
+on which AQE can split a hot key for every join type used here.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerloom.session import broadcast_if_small
+
 
 def lookup(df: DataFrame, dimension: DataFrame, on: str | list[str],
            defaults: dict[str, object]) -> DataFrame:
@@ -17,7 +19,8 @@ def lookup(df: DataFrame, dimension: DataFrame, on: str | list[str],
     ``dimension`` is reduced to the key and the attributes named in ``defaults``.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    joined = df.join(dimension.select(*keys, *defaults), keys, "left")
+    reference = broadcast_if_small(dimension.select(*keys, *defaults))
+    joined = df.join(reference, keys, "left")
     return joined.withColumns(
         {c: F.coalesce(F.col(c), F.lit(value)) for c, value in defaults.items()
          if value is not None}
@@ -43,7 +46,7 @@ def flag_listed(df: DataFrame, listed: DataFrame, key: str, flag: str,
                 listed_key: str | None = None) -> DataFrame:
     """Boolean column: does the key occur in the list?"""
     members = listed.select(F.col(listed_key or key).alias(key)).distinct()
-    marked = df.join(members.withColumn(flag, F.lit(True)), key, "left")
+    marked = df.join(broadcast_if_small(members.withColumn(flag, F.lit(True))), key, "left")
     return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
@@ -67,7 +70,7 @@ def valid_attribute(df: DataFrame, dimension: DataFrame, key: str, day: str, att
         F.min(attribute).alias(attribute),
         F.collect_set(F.struct(F.col(start).alias("start"), F.col(end).alias("end"))).alias("_spans"),
     )
-    joined = df.join(by_key, key, "left")
+    joined = df.join(broadcast_if_small(by_key), key, "left")
     valid = F.exists("_spans", lambda s: within(F.col(day), s["start"], s["end"], "neither"))
     return joined.withColumn(
         attribute, F.when(valid, F.col(attribute)).otherwise(default)

@@ -14,6 +14,7 @@ from ledgerloom.functions.measures import quotient, ratio, sum_if, weighted_aver
 from ledgerloom.operators import expansion
 from ledgerloom.operators.lookups import drop_listed, keep_listed, lookup, valid_attribute
 from ledgerloom.plans.inputs import BondInputs
+from ledgerloom.session import broadcast_if_small
 
 ISSUE_UNIT = 100_000_000
 SIDES = {"buy": ("buyer", "seller"), "sell": ("seller", "buyer")}
@@ -51,7 +52,8 @@ def with_strategy(deals: DataFrame, inputs: BondInputs) -> DataFrame:
 def enriched_deals(inputs: BondInputs) -> DataFrame:
     """T1 in full: deals with strategy, bond, custodian, tenor and the types of both parties."""
     deals = with_strategy(clean_deals(inputs), inputs).withColumn("tenor", tenor()).join(
-        bond_attributes(inputs).select("bond_id", "bond_cd", "bond_nm", "bond_ctgry_nm2", "cstdn"),
+        broadcast_if_small(bond_attributes(inputs).select(
+            "bond_id", "bond_cd", "bond_nm", "bond_ctgry_nm2", "cstdn")),
         "bond_id",
     )
     types = inputs.members.groupBy("ip_id").agg(F.min("ins_show_name").alias("ins_show_name"))
@@ -150,7 +152,7 @@ def _or_zero(measure: Column) -> Column:
 
 
 def _with_bond(report: DataFrame, inputs: BondInputs, *attributes: str) -> DataFrame:
-    return report.join(inputs.bonds.select("bond_id", *attributes), "bond_id")
+    return report.join(broadcast_if_small(inputs.bonds.select("bond_id", *attributes)), "bond_id")
 
 
 def _with_show_name(report: DataFrame, inputs: BondInputs) -> DataFrame:
@@ -184,7 +186,7 @@ def bond_bsc_info(deals: DataFrame, inputs: BondInputs) -> DataFrame:
         F.col("lstng_dt").isNotNull() & F.col("frst_value_dt").isNotNull()
         & F.col("mrty_dt").isNotNull() & F.col("ttl_face_value").isNotNull()
     )
-    return daily.join(bonds, "bond_id").select(
+    return daily.join(broadcast_if_small(bonds), "bond_id").select(
         "deal_dt", "bond_id", "bond_cd", "bond_nm", "bond_ctgry_nm", "yr_of_time_to_mrty",
         "frst_value_dt", "mrty_dt", F.col("scnd_blngl_desc").alias("bond_prd"),
         ratio(F.col("ttl_face_value"), F.lit(ISSUE_UNIT)).alias("issue_vlmn"),
@@ -213,7 +215,7 @@ def bond_turnover_rate(deals: DataFrame, inputs: BondInputs,
         "bond_id", "bond_cd", "bond_nm", "ttl_face_value",
         labels.bond_category(F.col("bond_ctgry_nm")).alias("bond_ctgry_nm2"),
     )
-    rated = both.join(bonds, "bond_id").join(
+    rated = both.join(broadcast_if_small(bonds), "bond_id").join(
         rates.withColumnRenamed("ri_id", "bond_id"), ["bond_id", "deal_dt"], "left"
     )
     return rated.select(

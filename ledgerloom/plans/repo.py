@@ -18,6 +18,7 @@ from ledgerloom.operators.lookups import (
     flag_listed, keep_listed, lookup, root_of_members, within,
 )
 from ledgerloom.plans.inputs import RepoInputs
+from ledgerloom.session import broadcast_if_small
 
 REPO, REVERSE = "repo", "rvrse"
 SIDES = {REPO: (REPO, REVERSE), REVERSE: (REVERSE, REPO)}
@@ -63,7 +64,7 @@ def member_profiles(inputs: RepoInputs) -> DataFrame:
 
 def with_valid_parties(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
     """Keep deals dated within the validity of both parties and attach both profiles."""
-    profiles = member_profiles(inputs)
+    profiles = broadcast_if_small(member_profiles(inputs))
     for side, party in PARTY_COLUMNS.items():
         member = profiles.alias(side)
         deals = (

@@ -6,14 +6,15 @@ created. Memory, cores and the master belong to the cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 32_768
 
-# Joins pick broadcast or shuffle from Spark's own size estimate
-# (spark.sql.autoBroadcastJoinThreshold); no plan carries a broadcast hint. A hot
-# join key is split by AQE, also where that costs one more exchange.
+# Bytes of input files up to which a reference table is broadcast.
+BROADCAST_LIMIT = 32 * 1024 * 1024
+
+# A hot join key is split by AQE, also where that costs one more exchange.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -33,7 +34,7 @@ def tune(spark: SparkSession, *inputs: DataFrame) -> SparkSession:
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     if inputs:
-        wanted = shuffle_partitions(sum(estimated_bytes(df) for df in inputs))
+        wanted = shuffle_partitions(sum(input_bytes(df) for df in inputs))
         if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
             spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
@@ -45,9 +46,21 @@ def shuffle_partitions(total_bytes: int) -> int:
     return int(max(1, min(needed, MAX_SHUFFLE_PARTITIONS)))
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame (file sizes for a plain scan)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables or files a frame is computed from."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.length()))
+
+
+def broadcast_if_small(reference: DataFrame) -> DataFrame:
+    """Mark reference data for broadcast if its input is small; leave it as it is otherwise.
+
+    Spark multiplies the sizes of joined tables when it estimates a join, so it would
+    shuffle the deals against any reference table that was itself looked up. The
+    input size bounds a table built by key lookups, filters and grouping. Beyond the
+    limit the join is a shuffle join, in which AQE splits hot keys.
+    """
+    return F.broadcast(reference) if input_bytes(reference) <= BROADCAST_LIMIT else reference
 
 
 def shared_folder(spark: SparkSession, fallback: str) -> str:
