@@ -531,7 +531,7 @@ _OPERATORS = {
         FROM t1 GROUP BY strategy""",
     "any_attr": """
         SELECT bond_id, buyer_id AS first_buyer FROM v_deal
-        QUALIFY row_number() OVER (PARTITION BY bond_id ORDER BY deal_dt, bond_deal_id, buyer_id) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY bond_id ORDER BY bond_deal_id) = 1""",
     "counterparty_set": """
         SELECT repo_uniq AS repo_pty_id,
                string_agg(DISTINCT CAST(rvrse_uniq AS VARCHAR), ',' ORDER BY CAST(rvrse_uniq AS VARCHAR))

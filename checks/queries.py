@@ -14,7 +14,7 @@ from ledgerloom.functions import labels
 from ledgerloom.functions.measures import ratio, weighted_average
 from ledgerloom.operators import expansion, merging, quality
 from ledgerloom.operators.lookups import (
-    drop_listed, keep_listed, lookup, root_of_members, valid_attribute,
+    drop_listed, keep_listed, valid_attribute, with_root,
 )
 from ledgerloom.plans import bond, market, repo, words
 from ledgerloom.plans.market import MarketQuery
@@ -189,7 +189,7 @@ def valid_at_exclusive(t):
 def root_rollup(t):
     members = b.repo_members(t)
     text = members.withColumn("unq_id", F.col("unq_id").cast("string"))
-    return root_of_members(text).groupBy("root_id").agg(F.count(F.lit(1)).alias("n_members"))
+    return with_root(text).groupBy("root_id").agg(F.count(F.lit(1)).alias("n_members"))
 
 
 @query
@@ -292,7 +292,7 @@ def trade_kind_counts(t):
 @query
 def any_attr(t):
     return b.bond_deals(t).groupBy("bond_id").agg(
-        F.min_by("buyer_id", F.struct("deal_dt", "bond_deal_id", "buyer_id")).alias("first_buyer"))
+        F.min_by("buyer_id", "bond_deal_id").alias("first_buyer"))
 
 
 @query

@@ -84,21 +84,19 @@ def one_per_key(dimension: DataFrame, *keys: str) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
-def root_of_members(members: DataFrame, key: str = "unq_id", code: str = "member_cd",
-                    root_code: str = "rt_member_cd", default: str = "None") -> DataFrame:
-    """Member key and the key of its root member.
+def with_root(members: DataFrame, key: str = "unq_id", code: str = "member_cd",
+              root_code: str = "rt_member_cd", default: str = "None") -> DataFrame:
+    """Add ``root_id``, the key of the root member that the root code names.
 
     A root is a member whose root code is empty or its own code; it is its own root.
     """
     no_root = F.col(root_code).isNull() | (F.col(root_code).cast("string") == "")
     is_root = no_root | (F.col(root_code) == F.col(code))
     roots = one_per_key(
-        members.where(is_root).select(F.col(code).alias("_root_code"), F.col(key).alias("_root_id")),
+        members.where(is_root).select(F.col(code).alias("_root_code"), F.col(key).alias("root_id")),
         "_root_code",
     )
-    own_code = members.select(
-        F.col(key), F.when(is_root, F.col(code)).otherwise(F.col(root_code)).alias("_root_code")
-    )
-    return own_code.join(roots, "_root_code", "left").select(
-        key, F.coalesce(F.col("_root_id"), F.lit(default)).alias("root_id")
+    coded = members.withColumn(
+        "_root_code", F.when(is_root, F.col(code)).otherwise(F.col(root_code))
     )
+    return lookup(coded, roots, "_root_code", {"root_id": default}).drop("_root_code")

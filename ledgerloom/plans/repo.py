@@ -15,7 +15,7 @@ from ledgerloom.functions.measures import (
 )
 from ledgerloom.operators import expansion
 from ledgerloom.operators.lookups import (
-    flag_listed, keep_listed, lookup, root_of_members, within,
+    flag_listed, keep_listed, lookup, with_root, within,
 )
 from ledgerloom.plans.inputs import RepoInputs
 from ledgerloom.session import broadcast_if_small
@@ -54,9 +54,8 @@ def member_profiles(inputs: RepoInputs) -> DataFrame:
     Identifiers are text, since a member without a known root gets the miss marker.
     """
     members = inputs.members.withColumn("unq_id", F.col("unq_id").cast("string"))
-    roots = root_of_members(members.select("unq_id", "member_cd", "rt_member_cd").distinct())
     is_fund = F.col("full_nm").contains(inputs.fund_marker)
-    return lookup(members, roots, "unq_id", {"root_id": labels.MISSING}).select(
+    return with_root(members, default=labels.MISSING).select(
         "ip_id", "unq_id", "root_id", "ins_show_name", "efctv_from_dt", "efctv_to_dt",
         expansion.member_kind(F.col("unq_id"), F.col("root_id"), is_fund).alias("kind"),
     )

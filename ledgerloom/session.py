@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 32_768
+MAX_SCAN_TASKS = 200_000
 
 # Bytes of input files up to which a reference table is broadcast.
 BROADCAST_LIMIT = 32 * 1024 * 1024
@@ -28,15 +29,18 @@ def tune(spark: SparkSession, *inputs: DataFrame) -> SparkSession:
     """Apply the runtime settings and size the shuffle for ``inputs``.
 
     The number of shuffle partitions is only ever raised: AQE merges partitions
-    that turn out small, but it cannot split a plain aggregation's partitions.
+    that turn out small, but it cannot split a plain aggregation's partitions. Scan
+    splits grow only where the default would give more tasks than a driver can track.
     """
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    if inputs:
-        wanted = shuffle_partitions(sum(input_bytes(df) for df in inputs))
-        if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-            spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    total = sum(input_bytes(df) for df in inputs)
+    wanted = shuffle_partitions(total)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    if total > MAX_SCAN_TASKS * TARGET_PARTITION_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(total // MAX_SCAN_TASKS))
     return spark
 
 
