@@ -460,6 +460,20 @@ _OPERATORS = {
     "semi_confirmed": """
         SELECT ev_id, CAST(trade_amnt AS DOUBLE) AS trade_amnt FROM v_repo
         WHERE deal_nmbr IN (SELECT deal_nmbr FROM v_bank)""",
+    "semi_prefixed": """
+        SELECT '11002' || CAST(r.ev_id AS VARCHAR) AS ev_id, CAST(r.trade_amnt AS DOUBLE) AS trade_amnt
+        FROM v_repo r JOIN v_bank b ON r.ev_id = b.deal_nmbr""",
+    "dictionary_one_per_key": """
+        SELECT l_orderkey, l_returnflag, l_linestatus, l_suppkey FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey
+            ORDER BY l_returnflag DESC, l_linestatus DESC, l_suppkey DESC) = 1""",
+    "parse_dates": """
+        SELECT o_orderkey, CASE WHEN year(o_orderdate) <> 1996 THEN CAST(o_orderdate AS DATE) END AS deal_dt
+        FROM orders""",
+    "zero_weight_guard": """
+        SELECT pd_cd, CASE WHEN pd_cd <> 'R001' THEN {q(sum(deal_repo_rate * trade_amnt),sum(trade_amnt))}
+                      END AS weighted_rate
+        FROM v_repo GROUP BY pd_cd""",
     "anti_removed": """
         SELECT bond_deal_id, bond_id, CAST(dirty_amnt AS DOUBLE) AS dirty_amnt FROM v_deal
         WHERE bond_deal_id NOT IN (SELECT deal_id FROM v_removed)""",
@@ -605,6 +619,16 @@ _OPERATORS = {
         FROM t1 JOIN v_bond b ON t1.bond_id = b.bond_id
         LEFT JOIN v_org o ON b.cstdtn_bank_id = o.unq_id
         LEFT JOIN v_inst i ON t1.buyer_id = i.ip_id LEFT JOIN v_inst j ON t1.seller_id = j.ip_id""",
+    "base_t2": "SELECT deal_dt, bond_id, org_id, " + _dbl(
+        "buy_act_all", "buy_paper_all", "sell_act_all", "sell_paper_all")
+        + ", buy_ytm_rate_bf, buy_ytm_rate_af, sell_ytm_rate_bf, sell_ytm_rate_af FROM t2",
+    "base_t3": "SELECT ri_id, deal_dt, zy_rate FROM t3",
+    "base_r2": f"""
+        SELECT ev_id, pd_cd, deal_dt, repo_unq AS repo_unq_id, rvrse_unq AS rvrse_unq_id,
+               {_dbl('deal_repo_rate', 'trade_amnt')} FROM r2""",
+    "base_r3": f"""
+        SELECT ev_id, pd_cd, deal_dt, repo_unq AS repo_unq_id, rvrse_unq AS rvrse_unq_id, rtng_desc,
+               bond_id, bond_class, issr_nm, {_dbl('cnvrsn_prprtn', 'trade_amnt')} FROM r3""",
     "base_r1": f"""
         SELECT ev_id, pd_cd, deal_dt, repo_unq AS repo_unq_id, rvrse_unq AS rvrse_unq_id, rtng_desc,
                is_bank_deal, coalesce(n, 0) AS n_lines, {_dbl('deal_repo_rate', 'trade_amnt')}

@@ -12,13 +12,14 @@ from checks import bindings as b
 from checks.bindings import Tables
 from ledgerloom.functions import labels
 from ledgerloom.functions.measures import ratio, weighted_average
+from ledgerloom.functions.text import parse_date
 from ledgerloom.operators import expansion, merging, quality
 from ledgerloom.operators.lookups import (
-    drop_listed, keep_listed, valid_attribute, with_root,
+    drop_listed, keep_listed, one_per_key, valid_attribute, with_root,
 )
 from ledgerloom.plans import bond, market, repo, words
 from ledgerloom.plans.market import MarketQuery
-from ledgerloom.sources import feeds, layouts
+from ledgerloom.sources import feeds, layouts, loaders
 
 YEAR = MarketQuery(date(1997, 1, 1), date(1997, 12, 31))
 FILTERED = MarketQuery(date(1996, 3, 1), date(1998, 8, 31), player_type="F", bond_type="1-URGENT")
@@ -165,6 +166,38 @@ def semi_confirmed(t):
     return keep_listed(b.repo_deals(t), b.bank_deals(t), "deal_nmbr").select("ev_id", "trade_amnt")
 
 
+@query
+def semi_prefixed(t):
+    """Confirmed identifiers carry a prefix in the deal feed."""
+    deals = b.repo_deals(t).select(
+        F.concat(F.lit(loaders.DEAL_ID_PREFIX), "ev_id").alias("ev_id"), "trade_amnt")
+    listed = b.bank_deals(t).select(F.col("deal_nmbr").cast("string").alias("deal_id"))
+    return keep_listed(deals, loaders.prefixed(listed, "deal_id", "ev_id"), "ev_id")
+
+
+@query
+def dictionary_one_per_key(t):
+    """A feed with repeated keys as a dictionary."""
+    return one_per_key(
+        t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus", "l_suppkey"), "l_orderkey")
+
+
+@query
+def parse_dates(t):
+    """Dates with one-digit months and days; every order of 1996 is dirty."""
+    text = F.when(F.year("o_orderdate") == 1996, "1996/13/45").otherwise(
+        F.concat_ws("/", F.year("o_orderdate"), F.month("o_orderdate"), F.dayofmonth("o_orderdate")))
+    return t.orders.select("o_orderkey", parse_date(text, loaders.SLASHED).alias("deal_dt"))
+
+
+@query
+def zero_weight_guard(t):
+    """Groups whose weights add up to zero have no average."""
+    weight = F.when(F.col("pd_cd") == "R001", 0).otherwise(F.col("trade_amnt"))
+    return b.repo_deals(t).groupBy("pd_cd").agg(
+        weighted_average(F.col("deal_repo_rate"), weight).alias("weighted_rate"))
+
+
 @query
 def anti_removed(t):
     return drop_listed(b.bond_deals(t), b.removed(t), "bond_deal_id", "deal_id").select(
@@ -410,6 +443,33 @@ def base_t1(t):
         "tenor", "buyer_type", "seller_type", "dirty_amnt", "trade_amnt", "ytm_rate")
 
 
+@query
+def base_t2(t):
+    inputs = b.bond_inputs(t)
+    deals = bond.with_strategy(bond.clean_deals(inputs), inputs)
+    return bond.positions(deals).join(bond.position_yields(deals), bond.POSITION_KEYS)
+
+
+@query
+def base_t3(t):
+    inputs = b.bond_inputs(t)
+    return bond.collateral_rate(inputs.repo_deals, inputs.collateral)
+
+
+@query
+def base_r2(t):
+    return repo.reported_products(repo.valid_deals(b.repo_inputs(t))).select(
+        "ev_id", "pd_cd", "deal_dt", "repo_unq_id", "rvrse_unq_id", "deal_repo_rate", "trade_amnt")
+
+
+@query
+def base_r3(t):
+    inputs = b.repo_inputs(t)
+    return repo.collateral_lines(repo.valid_deals(inputs, rating=True), inputs).select(
+        "ev_id", "pd_cd", "deal_dt", "repo_unq_id", "rvrse_unq_id", "rtng_desc", "bond_id",
+        "bond_class", "issr_nm", "cnvrsn_prprtn", "trade_amnt")
+
+
 @query
 def base_r1(t):
     return repo.valid_deals(b.repo_inputs(t), rating=True, bank_flag=True, line_count=True).select(

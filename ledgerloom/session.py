@@ -12,8 +12,10 @@ TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 32_768
 MAX_SCAN_TASKS = 200_000
 
-# Bytes of input files up to which a reference table is broadcast.
-BROADCAST_LIMIT = 32 * 1024 * 1024
+# Bytes of input files up to which a reference table is broadcast. Compressed files
+# unpack to several times their size; spark.sql.sources.fileCompressionFactor scales
+# the estimate where the files compress unusually well.
+BROADCAST_LIMIT = 16 * 1024 * 1024
 
 # A hot join key is split by AQE, also where that costs one more exchange.
 RUNTIME_SETTINGS = {

@@ -82,8 +82,7 @@ def repo_inputs(spark: SparkSession, paths: dict[str, str]) -> RepoInputs:
             "ip_id", F.col("unq_id_in_src_sys").alias("unq_id"), "member_cd", "rt_member_cd",
             "full_nm", "ins_show_name", *_validity(SLASHED),
         ), "ip_id"),
-        confirmed=removal.where(~superseded).select(
-            F.concat(F.lit(DEAL_ID_PREFIX), "deal_id").alias("ev_id")),
+        confirmed=prefixed(removal.where(~superseded), "deal_id", "ev_id"),
         ratings=one_per_key(raw["ri_credit_rtng"].select(
             F.col("ri_id").alias("trdng_ri_id"),
             labels.rating_bucket(F.col("rtng_desc")).alias("rtng_desc"),
@@ -110,6 +109,11 @@ def member_show_names(raw: dict[str, DataFrame]) -> DataFrame:
     return one_per_key(categories.select("member_ctgry_id", "ins_show_name"), "member_ctgry_id")
 
 
+def prefixed(listed: DataFrame, column: str, name: str) -> DataFrame:
+    """Identifiers of a list in the form the deal feed uses."""
+    return listed.select(F.concat(F.lit(DEAL_ID_PREFIX), column).alias(name))
+
+
 def _id(column: str) -> Column:
     return blank_to_null(F.col(column)).alias(column)
 
