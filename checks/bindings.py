@@ -1,7 +1,9 @@
 """The job inputs bound onto the test tables (FIXTURES.md part B).
 
 Orders play repo deals, line items bond deals and collateral, customers members,
-suppliers and parts bonds. Some reference rows are left out so that lookups miss.
+suppliers and parts bonds. Some reference rows are left out so that lookups miss; the
+deals themselves are whole. The list of confirmed repo deals is the strategy feed, so
+that it differs from the bank flag.
 """
 
 from __future__ import annotations

@@ -4,27 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_LINE_END = "\\r\\n|\\r|\\n"
-
 
 def lines_of(text: Column) -> Column:
-    """Array of lines; the line end after the last line starts no further line."""
-    body = F.regexp_replace(text, f"({_LINE_END})\\z", "")
-    return F.when(F.length(text) > 0, F.split(body, _LINE_END, -1)).otherwise(
-        F.array().cast("array<string>")
-    )
+    """Lines of a text that is not empty; the line end after the last line starts no other.
 
+    A line ends with LF, CR or CR LF. Only text with a CR pays for a regular expression.
+    """
+    unix = F.when(text.contains("\r"), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
+    body = F.when(unix.endswith("\n"), F.left(unix, F.length(unix) - 1)).otherwise(unix)
+    return F.split(body, "\n", -1)
 
-def words_of(line: Column) -> Column:
-    """Blank-separated words of one line.
 
-    Blanks at the end give no words, while two blanks in a row give an empty word,
-    and so does an empty line. A line of blanks alone gives none.
-    """
-    body = F.rtrim(line)
-    return F.when(
-        (F.length(line) == 0) | (F.length(body) > 0), F.split(body, " ", -1)
-    ).otherwise(F.array().cast("array<string>"))
+def has_words(line: Column) -> Column:
+    """A line of blanks alone has no words; an empty line has one empty word."""
+    return (F.length(line) == 0) | (F.length(F.rtrim(line)) > 0)
+
+
+def words_of(line: Column) -> Column:
+    """Words of a line that has any: blanks at the end are cut, two in a row hold an empty word."""
+    return F.split(F.rtrim(line), " ", -1)
 
 
 def parse_date(text: Column, pattern: str) -> Column:

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.functions.text import lines_of, words_of
+from ledgerloom.functions.text import has_words, lines_of, words_of
 from ledgerloom.operators.expansion import split_event
 
 
 def text_lines(documents: DataFrame, text: str = "text") -> DataFrame:
-    return documents.select(F.explode(lines_of(F.col(text))).alias("value"))
+    # explode_outer: explode would filter on the array's size and so split each text twice
+    return documents.where(F.length(text) > 0).select(
+        F.explode_outer(lines_of(F.col(text))).alias("value"))
 
 
 def word_count(lines: DataFrame, value: str = "value") -> DataFrame:
-    words = lines.select(F.explode(words_of(F.col(value))).alias("word"))
+    line = F.col(value)
+    words = lines.where(has_words(line)).select(F.explode_outer(words_of(line)).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -23,7 +26,7 @@ def as_text(counts: DataFrame) -> DataFrame:
 
 
 def expand_events(lines: DataFrame, event: str, value: str = "value") -> DataFrame:
-    return lines.select(F.explode(split_event(F.col(value), event)).alias("value"))
+    return lines.select(F.explode_outer(split_event(F.col(value), event)).alias("value"))
 
 
 def expansion_counts(lines: DataFrame, event: str, value: str = "value") -> DataFrame:

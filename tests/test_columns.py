@@ -61,10 +61,20 @@ def test_dates(spark):
 
 
 def test_lines_and_words(spark):
-    assert values(spark, text.lines_of, ["a\nb", "a\r\nb\n", "", "\n", "a\n\nb"]) == [
-        ["a", "b"], ["a", "b"], [], [""], ["a", "", "b"]]
-    assert values(spark, text.words_of, ["a b", "a  b ", "", "  ", " a"]) == [
-        ["a", "b"], ["a", "", "b"], [""], [], ["", "a"]]
+    assert values(spark, text.lines_of, ["a\nb", "a\r\nb\n", "a\rb", "\n", "a\n\nb"]) == [
+        ["a", "b"], ["a", "b"], ["a", "b"], [""], ["a", "", "b"]]
+    assert values(spark, text.words_of, ["a b", "a  b ", "", " a"]) == [
+        ["a", "b"], ["a", "", "b"], [""], ["", "a"]]
+    assert values(spark, text.has_words, ["a", "", "  "]) == [True, True, False]
+
+
+def test_text_lines(spark):
+    documents = spark.createDataFrame([("a b\n\n  \nc",), ("",), (None,)], "text string")
+    lines = words.text_lines(documents)
+    assert [r.value for r in lines.collect()] == ["a b", "", "  ", "c"]
+    assert {r.word: r.n for r in words.word_count(lines).collect()} == {"a": 1, "b": 1, "": 1, "c": 1}
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
 
 
 def test_word_count(spark):
