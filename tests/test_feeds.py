@@ -35,6 +35,12 @@ def test_split_sample_line(spark):
 def test_long_field_needs_no_deep_recursion(spark):
     long = "字," * 200_000
     assert fields(spark, f'"{long}",2') == [long, "2"]
+    quotes = '""x' * 100_000
+    assert fields(spark, f'"{quotes}",2') == [quotes, "2"]
+
+
+def test_unclosed_quote_takes_the_rest_of_the_line(spark):
+    assert fields(spark, 'a,"b,c') == ["a", "b,c"]
 
 
 LAYOUT = FeedLayout("t", "EV", ("a", "b", "c"), required=("a",))
