@@ -391,6 +391,10 @@ _DAYS = """
     FROM (SELECT DISTINCT deal_dt FROM v_trade WHERE deal_dt < DATE '{b}') d
     QUALIFY row_number() OVER (ORDER BY deal_dt DESC) <=
             (SELECT count(DISTINCT deal_dt) FROM v_trade WHERE deal_dt BETWEEN DATE '{b}' AND DATE '{e}')"""
+_CLEAN = ("(SELECT * FROM v_deal WHERE st <> 'R' "
+          "AND bond_deal_id NOT IN (SELECT deal_id FROM v_removed)) d")
+_CONFIRMED = ("(SELECT * FROM v_repo WHERE st <> 'P' "
+              "AND ev_id IN (SELECT deal_nmbr FROM v_strategy)) d")
 _FILTER = "player_type = 'F' AND bond_type = '1-URGENT'"
 
 
@@ -574,17 +578,20 @@ _OPERATORS = {
             "repo_member_d": "v_member", "ri_credit_rtng": "v_rating",
             "dps_v_cr_dep_txn_dtl": "v_bank", "repo_bond_d": "v_cbond"}.items()),
     "lookup_miss_counts": " UNION ALL ".join([
-        _miss("org_id", "v_bond", "cstdtn_bank_id", "SELECT unq_id FROM v_org"),
-        _miss("dps_v_all", "v_deal", "deal_nmbr", "SELECT deal_nmbr FROM v_strategy"),
-        _miss("member_d_buyer", "v_deal", "buyer_id", "SELECT ip_id FROM v_inst"),
-        _miss("member_d_seller", "v_deal", "seller_id", "SELECT ip_id FROM v_inst"),
-        _miss("ip_id_repo", "v_repo", "repo_uniq", "SELECT uniq FROM v_member"),
-        _miss("ip_id_rvrse", "v_repo", "rvrse_uniq", "SELECT uniq FROM v_member"),
-        _miss("trdng_ri_id", "v_repo", "ev_id", "SELECT ri_id FROM v_rating"),
-        _miss("rootcd", "v_member", "root_uniq", "SELECT uniq FROM v_member"),
-        _miss("bond_id", "v_cltrl", "ri_id", "SELECT bond_id FROM v_cbond"),
-        "SELECT 'ev_cltrl_dtls' AS counter, count(*) AS misses FROM t1 LEFT JOIN t3 "
-        "ON t1.bond_id = t3.ri_id AND t1.deal_dt = t3.deal_dt WHERE t3.ri_id IS NULL",
+        _miss("bond_custodian", "v_bond", "cstdtn_bank_id", "SELECT unq_id FROM v_org"),
+        _miss("institution_type", "v_inst", "ip_id", "SELECT ip_id FROM v_inst"),
+        _miss("deal_strategy", _CLEAN, "deal_nmbr", "SELECT deal_nmbr FROM v_strategy"),
+        _miss("deal_buyer", _CLEAN, "buyer_id", "SELECT ip_id FROM v_inst"),
+        _miss("deal_seller", _CLEAN, "seller_id", "SELECT ip_id FROM v_inst"),
+        f"SELECT 'collateral_rate' AS counter, count(*) AS misses FROM {_CLEAN} LEFT JOIN t3 "
+        "ON d.bond_id = t3.ri_id AND d.deal_dt = t3.deal_dt WHERE t3.ri_id IS NULL",
+        _miss("member_type", "v_member", "uniq", "SELECT uniq FROM v_member"),
+        _miss("member_root", "v_member", "root_uniq", "SELECT uniq FROM v_member"),
+        _miss("deal_repo_party", _CONFIRMED, "repo_uniq", "SELECT uniq FROM v_member"),
+        _miss("deal_rvrse_party", _CONFIRMED, "rvrse_uniq", "SELECT uniq FROM v_member"),
+        f"SELECT 'deal_product' AS counter, count(*) AS misses FROM {_CONFIRMED} WHERE pd_cd = 'None'",
+        _miss("deal_rating", _CONFIRMED, "ev_id", "SELECT ri_id FROM v_rating"),
+        _miss("collateral_bond", "v_cltrl", "ri_id", "SELECT bond_id FROM v_cbond"),
     ]),
     "upsert_merge": """
         SELECT deal_dt, bond_id, CAST(coalesce(n.s, o.s) AS DOUBLE) AS trd_amnt

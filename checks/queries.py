@@ -17,7 +17,7 @@ from ledgerloom.operators import expansion, merging, quality
 from ledgerloom.operators.lookups import (
     drop_listed, keep_listed, one_per_key, valid_attribute, with_root,
 )
-from ledgerloom.plans import bond, market, repo, words
+from ledgerloom.plans import bond, counters, market, repo, words
 from ledgerloom.plans.market import MarketQuery
 from ledgerloom.sources import feeds, layouts, loaders
 
@@ -384,21 +384,8 @@ def load_counts(t):
 
 @query
 def lookup_miss_counts(t):
-    bonds_in, repo_in = b.bond_inputs(t), b.repo_inputs(t)
-    daily = bond.clean_deals(bonds_in).select("bond_id", "deal_dt")
-    rates = bond.collateral_rate(bonds_in.repo_deals, bonds_in.collateral)
-    return quality.miss_report({
-        "org_id": quality.misses(bonds_in.bonds, bonds_in.orgs, {"cstdtn_bank_id": "unq_id"}),
-        "dps_v_all": quality.misses(bonds_in.deals, bonds_in.strategies, {"deal_nmbr": "deal_nmbr"}),
-        "member_d_buyer": quality.misses(bonds_in.deals, bonds_in.members, {"buyer_id": "ip_id"}),
-        "member_d_seller": quality.misses(bonds_in.deals, bonds_in.members, {"seller_id": "ip_id"}),
-        "ev_cltrl_dtls": quality.misses(daily, rates, {"bond_id": "ri_id", "deal_dt": "deal_dt"}),
-        "ip_id_repo": quality.misses(repo_in.deals, repo_in.members, {"repo_pty_id": "ip_id"}),
-        "ip_id_rvrse": quality.misses(repo_in.deals, repo_in.members, {"rvrse_repo_pty_id": "ip_id"}),
-        "trdng_ri_id": quality.misses(repo_in.deals, repo_in.ratings, {"trdng_ri_id": "trdng_ri_id"}),
-        "rootcd": quality.misses(repo_in.members, repo_in.members, {"rt_member_cd": "member_cd"}),
-        "bond_id": quality.misses(repo_in.collateral, repo_in.bonds, {"bond_id": "bond_id"}),
-    })
+    return merging.append_families(
+        counters.bond_misses(b.bond_inputs(t)), counters.repo_misses(b.repo_inputs(t)))
 
 
 def _daily_amounts(deals: DataFrame) -> DataFrame:

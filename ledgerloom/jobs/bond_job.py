@@ -8,15 +8,16 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ledgerloom.jobs import common
-from ledgerloom.plans import bond
+from ledgerloom.plans import bond, counters
 from ledgerloom.sources import layouts, loaders
 
 
-def run(spark: SparkSession, feed_folder: str, output: str, counts: bool = False) -> None:
+def run(spark: SparkSession, feed_folder: str, output: str, upsert: bool = False,
+        counts: bool = False) -> None:
     paths = common.feed_paths(feed_folder, layouts.BOND_JOB_FEEDS)
     common.prepare(spark, paths)
     inputs = loaders.bond_inputs(spark, paths)
-    this_run = common.Run(spark, output)
+    this_run = common.Run(spark, output, upsert)
     deals = this_run.stage(bond.with_strategy(bond.clean_deals(inputs), inputs), "deals")
     held = this_run.stage(bond.positions(deals), "positions")
     this_run.write(bond.FROM_DEALS, deals, inputs)
@@ -25,14 +26,12 @@ def run(spark: SparkSession, feed_folder: str, output: str, counts: bool = False
     this_run.write(bond.FROM_YIELDS, bond.position_yields(deals), inputs)
     if counts:
         feeds = loaders.read_feeds(spark, paths, layouts.BOND_JOB_FEEDS)
-        common.write_load_counts(feeds, f"{output}/bond_job")
+        common.write_counts(feeds, counters.bond_misses(inputs), f"{this_run.output}/bond_job")
 
 
 def main() -> None:
-    parser = common.parser(__doc__)
-    parser.add_argument("--counts", action="store_true", help="also write rows loaded per feed")
-    args = parser.parse_args()
-    run(common.session("bond-reports"), args.input, args.output, args.counts)
+    args = common.report_parser(__doc__).parse_args()
+    run(common.session("bond-reports"), args.input, args.output, args.upsert, args.counts)
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.operators.quality import load_counts
 from ledgerloom.session import shared_folder, tune
 from ledgerloom.sources.feeds import read_lines
-from ledgerloom.sources.sinks import stage, write_report
+from ledgerloom.sources.sinks import stage, upsert_report, write_report
 from ledgerloom.sources.tables import REPORT_TABLES
 
 
@@ -18,11 +18,12 @@ class Run:
     """One run of a job: where it writes reports and stages shared relations.
 
     Staged relations go to the cluster's shared checkpoint folder where one is set,
-    else below the output folder; each run has a folder of its own there.
+    else below the output folder; each run has a folder of its own there. Reports
+    replace their tables, or with ``upsert`` only the rows with the same keys.
     """
 
-    def __init__(self, spark: SparkSession, output: str):
-        self.spark, self.output = spark, output.rstrip("/")
+    def __init__(self, spark: SparkSession, output: str, upsert: bool = False):
+        self.spark, self.output, self.upsert = spark, output.rstrip("/"), upsert
         folder = shared_folder(spark, f"{self.output}/_stage")
         self.work = f"{folder.rstrip('/')}/run-{uuid.uuid4().hex}"
 
@@ -31,7 +32,11 @@ class Run:
 
     def write(self, reports: dict, relation: DataFrame, inputs) -> None:
         for name, build in reports.items():
-            write_report(build(relation, inputs), REPORT_TABLES[name], self.output)
+            report, table = build(relation, inputs), REPORT_TABLES[name]
+            if self.upsert:
+                upsert_report(report, table, self.output, self.work)
+            else:
+                write_report(report, table, self.output)
 
 
 def feed_paths(folder: str, feeds) -> dict[str, str]:
@@ -44,8 +49,10 @@ def prepare(spark: SparkSession, paths: dict[str, str]) -> None:
     tune(spark, *[read_lines(spark, path) for path in paths.values()])
 
 
-def write_load_counts(feeds: dict[str, DataFrame], output: str) -> None:
-    load_counts(feeds).write.mode("overwrite").parquet(f"{output.rstrip('/')}/load_counts")
+def write_counts(feeds: dict[str, DataFrame], missed: DataFrame, folder: str) -> None:
+    """Rows loaded per feed and rows without a match per lookup."""
+    load_counts(feeds).write.mode("overwrite").parquet(f"{folder}/load_counts")
+    missed.write.mode("overwrite").parquet(f"{folder}/lookup_misses")
 
 
 def parser(description: str) -> argparse.ArgumentParser:
@@ -55,5 +62,14 @@ def parser(description: str) -> argparse.ArgumentParser:
     return result
 
 
+def report_parser(description: str) -> argparse.ArgumentParser:
+    result = parser(description)
+    result.add_argument("--upsert", action="store_true",
+                        help="insert or replace rows by key in report tables that exist already")
+    result.add_argument("--counts", action="store_true",
+                        help="also write rows loaded per feed and misses per lookup")
+    return result
+
+
 def session(name: str) -> SparkSession:
     return SparkSession.builder.appName(name).getOrCreate()

@@ -2,10 +2,11 @@
 
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
-from ledgerloom.jobs import bond_job, repo_job
+from ledgerloom.jobs import bond_job, common, repo_job
 from ledgerloom.sources import sinks
 from ledgerloom.sources.tables import REPORT_TABLES
 
@@ -220,10 +221,49 @@ def test_counterparties(spark, repo_reports):
     assert ("银行", "None", 250.0, 100.0) in got
 
 
+def counted(spark, path, value):
+    return {r[0]: r[value] for r in spark.read.parquet(path).collect()}
+
+
 def test_load_counts(spark, bond_reports, repo_reports):
-    counts = {r.feed: r.n_rows for r in
-              spark.read.parquet(f"{bond_reports}/bond_job/load_counts").collect()}
+    counts = counted(spark, f"{bond_reports}/bond_job/load_counts", "n_rows")
     assert counts["bond_deal"] == 8 and counts["member_d"] == 3
-    counts = {r.feed: r.n_rows for r in
-              spark.read.parquet(f"{repo_reports}/repo_job/load_counts").collect()}
+    counts = counted(spark, f"{repo_reports}/repo_job/load_counts", "n_rows")
     assert counts["member_d"] == 4 and counts["bond_repo_deal"] == 8
+
+
+def test_lookup_misses(spark, bond_reports, repo_reports):
+    assert counted(spark, f"{bond_reports}/bond_job/lookup_misses", "misses") == {
+        "bond_custodian": 1, "institution_type": 1, "deal_strategy": 1, "deal_buyer": 0,
+        "deal_seller": 0, "collateral_rate": 2}
+    assert counted(spark, f"{repo_reports}/repo_job/lookup_misses", "misses") == {
+        "member_type": 1, "member_root": 0, "deal_repo_party": 0, "deal_rvrse_party": 0,
+        "deal_product": 0, "deal_rating": 1, "collateral_bond": 1}
+
+
+def test_late_deals_are_upserted(spark, tmp_path):
+    out = str(tmp_path / "out")
+    bond_job.run(spark, write(tmp_path / "in", BOND_FEEDS), out)
+    header = BOND_FEEDS["bond_deal"].splitlines()[0]
+    late = header + "\nD8,M1,M2,N1,2018/07/19,1,B2,CNY,100,40,30,12,99,3,X1\n"
+    bond_job.run(spark, write(tmp_path / "late", {**BOND_FEEDS, "bond_deal": late}), out, upsert=True)
+    got = report(spark, out, "BOND_DEAL_SMART", "bond_id", "deal_dt", "trade_normal")
+    assert got == [("B1", DAY, 1), ("B2", date(2018, 7, 19), 1)]
+    got = report(spark, out, "BOND_INCOME", "bond_id", "org_id", "buy_act_all")
+    assert ("B1", "M1", 1200.0) in got and ("B2", "M1", 40.0) in got and ("B2", "M3", 60.0) in got
+    assert report(spark, out, "XBOND_INFO", "bond_cd") == [("CD1",), ("CD2",)]
+
+
+def test_staged_relations_follow_the_checkpoint_setting(spark, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("run-*/deals"))
+    bond_job.run(spark, write(tmp_path / "in", BOND_FEEDS), str(tmp_path / "out"))
+    assert len(set(shared.glob("run-*/deals")) - before) == 1
+    assert not (tmp_path / "out" / "_stage").exists()
+
+
+def test_staged_relations_without_the_setting(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda spark, fallback: fallback)
+    run = common.Run(spark, str(tmp_path / "out"))
+    assert run.stage(spark.range(3), "numbers").count() == 3
+    assert len(list((tmp_path / "out" / "_stage").glob("run-*/numbers"))) == 1
