@@ -7,11 +7,24 @@ on which AQE can split a hot key for every join type used here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from ledgerloom.session import broadcast_if_small
 
 
+APART = "_apart"
+
+
+def apart(df: DataFrame, *keys: str) -> GroupedData:
+    """Group by keys for a later join on the same keys; drop column ``APART`` afterwards.
+
+    AQE splits a hot key only where both sides of a join are read from a shuffle made
+    for it. Plain grouping leaves its result distributed by the join key, and Spark
+    would skip that shuffle; the extra grouping column, a function of the keys, keeps it.
+    """
+    return df.groupBy(*keys, F.xxhash64(*keys).alias(APART))
+
+
 def lookup(df: DataFrame, dimension: DataFrame, on: str | list[str],
            defaults: dict[str, object]) -> DataFrame:
     """Left join on ``on``; the attributes in ``defaults`` get that value on a miss.
@@ -45,8 +58,9 @@ def _by_presence(df, listed, key, listed_key, how):
 def flag_listed(df: DataFrame, listed: DataFrame, key: str, flag: str,
                 listed_key: str | None = None) -> DataFrame:
     """Boolean column: does the key occur in the list?"""
-    members = listed.select(F.col(listed_key or key).alias(key)).distinct()
-    marked = df.join(broadcast_if_small(members.withColumn(flag, F.lit(True))), key, "left")
+    members = apart(listed.select(F.col(listed_key or key).alias(key)), key).agg(
+        F.lit(True).alias(flag)).drop(APART)
+    marked = df.join(broadcast_if_small(members), key, "left")
     return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
@@ -66,10 +80,10 @@ def valid_attribute(df: DataFrame, dimension: DataFrame, key: str, day: str, att
     The intervals of a key are gathered in one array first, so that overlapping
     intervals do not multiply rows. The array is as long as the key's own history.
     """
-    by_key = dimension.groupBy(key).agg(
+    by_key = apart(dimension, key).agg(
         F.min(attribute).alias(attribute),
         F.collect_set(F.struct(F.col(start).alias("start"), F.col(end).alias("end"))).alias("_spans"),
-    )
+    ).drop(APART)
     joined = df.join(broadcast_if_small(by_key), key, "left")
     valid = F.exists("_spans", lambda s: within(F.col(day), s["start"], s["end"], "neither"))
     return joined.withColumn(
@@ -80,7 +94,7 @@ def valid_attribute(df: DataFrame, dimension: DataFrame, key: str, day: str, att
 def one_per_key(dimension: DataFrame, *keys: str) -> DataFrame:
     """One row per key. Of several rows the greatest is kept, by column order."""
     others = [c for c in dimension.columns if c not in keys]
-    picked = dimension.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row"))
+    picked = apart(dimension, *keys).agg(F.max(F.struct(*others)).alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.operators.lookups import APART, apart
+
 
 def upsert(existing: DataFrame, arriving: DataFrame, keys: list[str]) -> DataFrame:
     """Arriving rows replace existing rows with the same key; other rows stay."""
@@ -35,5 +37,5 @@ def share_of_total(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     A window would gather a whole group in one task; the grouped total is
     pre-aggregated before its shuffle, and the join back can be split by AQE.
     """
-    totals = df.groupBy(*keys).agg(F.sum(value).alias(f"{value}_total"))
+    totals = apart(df, *keys).agg(F.sum(value).alias(f"{value}_total")).drop(APART)
     return df.join(totals, keys, "inner")

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerloom.functions import labels
 from ledgerloom.functions.measures import quotient, ratio, sum_if, weighted_average
 from ledgerloom.operators import expansion
-from ledgerloom.operators.lookups import drop_listed, keep_listed, lookup, valid_attribute
+from ledgerloom.operators.lookups import (
+    drop_listed, keep_listed, lookup, one_per_key, valid_attribute,
+)
 from ledgerloom.plans.inputs import BondInputs
 from ledgerloom.session import broadcast_if_small
 
@@ -56,7 +58,7 @@ def enriched_deals(inputs: BondInputs) -> DataFrame:
             "bond_id", "bond_cd", "bond_nm", "bond_ctgry_nm2", "cstdn")),
         "bond_id",
     )
-    types = inputs.members.groupBy("ip_id").agg(F.min("ins_show_name").alias("ins_show_name"))
+    types = one_per_key(inputs.members.select("ip_id", "ins_show_name"), "ip_id")
     for role in ("buyer", "seller"):
         deals = lookup(
             deals,

@@ -15,7 +15,7 @@ from ledgerloom.functions.measures import (
 )
 from ledgerloom.operators import expansion
 from ledgerloom.operators.lookups import (
-    flag_listed, keep_listed, lookup, with_root, within,
+    flag_listed, keep_listed, lookup, one_per_key, with_root, within,
 )
 from ledgerloom.plans.inputs import RepoInputs
 from ledgerloom.session import broadcast_if_small
@@ -342,9 +342,9 @@ def member_counterparty_set(pledged: DataFrame, inputs: RepoInputs) -> DataFrame
     sets = expansion.expand_join_types(pairs).groupBy(*MEMBER_KEYS, *keys).agg(
         parties(REPO), parties(REVERSE)
     )
-    names = inputs.members.groupBy(F.col("unq_id").cast("string").alias("root_id")).agg(
-        F.min("ins_show_name").alias("ins_show_name")
-    )
+    names = one_per_key(
+        inputs.members.select(F.col("unq_id").cast("string").alias("root_id"), "ins_show_name"),
+        "root_id")
     return lookup(sets, names, "root_id", {"ins_show_name": labels.MISSING}).select(
         "ins_show_name", F.col("root_id").alias("unq_id_in_src_sys"), "join_type", *keys,
         "repo_cou_party_uniq_set", "rvrse_cou_party_uniq_set",

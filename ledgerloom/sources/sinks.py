@@ -5,7 +5,7 @@ A report table is a Parquet folder, partitioned by deal date where it has one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators.merging import upsert
 from ledgerloom.sources.tables import ReportTable
@@ -30,9 +30,9 @@ def upsert_report(arriving: DataFrame, table: ReportTable, folder: str, work_fol
     spark = arriving.sparkSession
     path = report_path(table, folder)
     fresh = stage(table.conform(arriving), f"{work_folder}/{table.name}_arriving")
-    existing = table.conform(spark.read.schema(table.schema).parquet(path))
+    existing = read_report(spark, table, folder)
     if PARTITION in table.key:
-        existing = existing.join(fresh.select(PARTITION).distinct(), PARTITION, "left_semi")
+        existing = existing.where(F.col(PARTITION).isin(_days(fresh)))
     merged = upsert(existing, fresh, list(table.key)).select(*table.columns)
     staged = stage(merged, f"{work_folder}/{table.name}_merged")
     (
@@ -44,6 +44,11 @@ def upsert_report(arriving: DataFrame, table: ReportTable, folder: str, work_fol
     return path
 
 
+def _days(df: DataFrame) -> list:
+    """Distinct deal dates, at most one per calendar day; as literals they prune partitions."""
+    return [row[0] for row in df.select(PARTITION).distinct().collect()]
+
+
 def read_report(spark: SparkSession, table: ReportTable, folder: str) -> DataFrame:
     return table.conform(spark.read.schema(table.schema).parquet(report_path(table, folder)))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from checks import bindings
 from ledgerloom import session
+from ledgerloom.operators import lookups, merging
 from ledgerloom.plans import repo
 
 QUERIES = entry_points.queries()
@@ -79,8 +80,9 @@ def test_deals_stay_distributed_by_deal(spark, sf_small, settings, monkeypatch):
     assert not re.search(r"Exchange hashpartitioning\(deal_nmbr.*\n.*SortMergeJoin", plan)
 
 
-def test_hot_member_is_split(spark, settings, monkeypatch, tmp_path):
-    """A member in a third of all deals: AQE splits it, and the sums are exact."""
+@pytest.fixture
+def shuffle_joins(settings, monkeypatch):
+    """No broadcasts, and thresholds low enough for test data to count as skewed."""
     monkeypatch.setattr(session, "BROADCAST_LIMIT", 0)
     settings(spark__sql__autoBroadcastJoinThreshold="-1",
              spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
@@ -88,6 +90,37 @@ def test_hot_member_is_split(spark, settings, monkeypatch, tmp_path):
              spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
              spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
              spark__sql__adaptive__coalescePartitions__enabled="false")
+
+
+def hot_rows(spark, folder, n=30_000):
+    """Rows in several files with key 7 in a third of them."""
+    spark.range(n, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("bigint").alias("k"),
+        F.col("id").cast("decimal(18,2)").alias("v")).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def test_hot_group_total_is_split(spark, shuffle_joins, tmp_path):
+    df = merging.share_of_total(hot_rows(spark, str(tmp_path / "rows")), ["k"], "v")
+    assert "skew=true" in executed(df)
+    assert df.agg(F.sum("v"), F.count(F.lit(1))).first()[1] == 30_000
+    hot = sum(i for i in range(30_000) if i % 3 == 0 or i % 500 == 7)
+    assert {int(r[0]) for r in df.where("k = 7").select("v_total").distinct().collect()} == {hot}
+
+
+def test_hot_lookup_key_is_split(spark, shuffle_joins, tmp_path):
+    rows = hot_rows(spark, str(tmp_path / "rows"))
+    twice = spark.range(500).select(F.col("id").alias("k"), F.lit("a").alias("name"))
+    twice.union(twice).write.parquet(str(tmp_path / "names"))
+    names = spark.read.parquet(str(tmp_path / "names"))
+    for df in (lookups.lookup(rows, lookups.one_per_key(names, "k"), "k", {"name": "None"}),
+               lookups.flag_listed(rows, names, "k", "known")):
+        assert "skew=true" in executed(df)
+        assert df.count() == 30_000
+
+
+def test_hot_member_is_split(spark, shuffle_joins, tmp_path):
+    """A member in a third of all deals: AQE splits it, and the sums are exact."""
     # deals lie in several files, so that a hot partition has several map outputs to split
     n = 30_000
     deal = spark.range(n, numPartitions=16).select(
