@@ -403,6 +403,10 @@ def _miss(name: str, fact: str, column: str, known: str) -> str:
             f"WHERE {column} NOT IN ({known})")
 
 
+def _empty(name: str, fact: str, column: str) -> str:
+    return f"SELECT '{name}' AS counter, count(*) AS misses FROM {fact} WHERE {column} IS NULL"
+
+
 _OPERATORS = {
     "scan_feed_clean": _ORG_FIELDS,
     "scan_feed_required": f"SELECT * FROM ({_ORG_FIELDS}) f WHERE chn_full_nm <> ''",
@@ -580,6 +584,10 @@ _OPERATORS = {
     "lookup_miss_counts": " UNION ALL ".join([
         _miss("bond_custodian", "v_bond", "cstdtn_bank_id", "SELECT unq_id FROM v_org"),
         _miss("institution_type", "v_inst", "ip_id", "SELECT ip_id FROM v_inst"),
+        _empty("deal_date", "v_deal", "deal_dt"),
+        _empty("deal_amount", "v_deal", "trade_amnt"),
+        _empty("repo_deal_date", "v_repo", "deal_dt"),
+        _empty("repo_deal_amount", "v_repo", "trade_amnt"),
         _miss("deal_strategy", _CLEAN, "deal_nmbr", "SELECT deal_nmbr FROM v_strategy"),
         _miss("deal_buyer", _CLEAN, "buyer_id", "SELECT ip_id FROM v_inst"),
         _miss("deal_seller", _CLEAN, "seller_id", "SELECT ip_id FROM v_inst"),

@@ -74,8 +74,7 @@ def rating_bucket(description: Column) -> Column:
 
 def tenor_bucket(years: Column) -> Column:
     """Years to maturity in six buckets; a bucket includes its upper limit."""
-    first_limit, first_label = TENOR_LIMITS[0]
-    bucket = F.when(years <= first_limit, first_label)
-    for limit, label in TENOR_LIMITS[1:]:
+    bucket = F.when(years.isNull(), MISSING)
+    for limit, label in TENOR_LIMITS:
         bucket = bucket.when(years <= limit, label)
     return bucket.otherwise(LONGEST_TENOR)

@@ -33,12 +33,13 @@ def is_normal() -> Column:
 def clean_deals(inputs: BondInputs) -> DataFrame:
     """T1 without the looked-up attributes: the valid deals.
 
-    Dropped are withdrawn deals (status compared as text), other currencies and
-    deals on the removal list.
+    Dropped are withdrawn deals (status compared as text), other currencies, deals
+    without a valid date and deals on the removal list.
     """
     currency = F.col("instmt_crncy")
     deals = inputs.deals.where(
         (F.col("st") != inputs.withdrawn) & (currency.contains("CNY") | currency.contains("-"))
+        & F.col("deal_dt").isNotNull()
     )
     return drop_listed(deals, inputs.removed, "bond_deal_id", "deal_id")
 
@@ -139,7 +140,7 @@ def collateral_rate(repo_deals: DataFrame, collateral: DataFrame) -> DataFrame:
         lines.join(repo_deals.select("ev_id", "deal_dt", "trade_amnt"), "ev_id")
         .groupBy("ri_id", "deal_dt")
         .agg(
-            F.sum(weighted_face * F.col("trade_amnt").cast("decimal(18,2)")).alias("weighted"),
+            F.sum(weighted_face * F.col("trade_amnt")).alias("weighted"),
             F.sum("total_face_value").alias("face"),
             F.sum("trade_amnt").alias("amount"),
         )

@@ -1,4 +1,7 @@
-"""Miss counters of the two jobs: how many rows found no entry in a reference table."""
+"""Miss counters of the two jobs: rows without an entry in a reference table.
+
+Deals without a valid date or amount are counted with them.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +20,8 @@ def bond_misses(inputs: BondInputs) -> DataFrame:
     return miss_report({
         "bond_custodian": misses(inputs.bonds, inputs.orgs, {"cstdtn_bank_id": "unq_id"}),
         "institution_type": _unlabelled(inputs.members, "ins_show_name"),
+        "deal_date": _empty(inputs.deals, "deal_dt"),
+        "deal_amount": _empty(inputs.deals, "trade_amnt"),
         "deal_strategy": misses(deals, inputs.strategies, {"deal_nmbr": "deal_nmbr"}),
         "deal_buyer": misses(deals, inputs.members, {"buyer_id": "ip_id"}),
         "deal_seller": misses(deals, inputs.members, {"seller_id": "ip_id"}),
@@ -32,6 +37,8 @@ def repo_misses(inputs: RepoInputs) -> DataFrame:
     return miss_report({
         "member_type": _unlabelled(inputs.members, "ins_show_name"),
         "member_root": misses(rooted, inputs.members, {"rt_member_cd": "member_cd"}),
+        "repo_deal_date": _empty(inputs.deals, "deal_dt"),
+        "repo_deal_amount": _empty(inputs.deals, "trade_amnt"),
         "deal_repo_party": misses(deals, inputs.members, {"repo_pty_id": "ip_id"}),
         "deal_rvrse_party": misses(deals, inputs.members, {"rvrse_repo_pty_id": "ip_id"}),
         "deal_product": _unlabelled(deals, "pd_cd"),
@@ -43,3 +50,7 @@ def repo_misses(inputs: RepoInputs) -> DataFrame:
 def _unlabelled(df: DataFrame, label: str) -> DataFrame:
     """Rows whose label was filled in by an earlier lookup that missed."""
     return df.agg(F.count_if(F.col(label) == labels.MISSING).alias("misses"))
+
+
+def _empty(df: DataFrame, column: str) -> DataFrame:
+    return df.agg(F.count_if(F.col(column).isNull()).alias("misses"))

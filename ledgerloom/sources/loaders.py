@@ -123,7 +123,7 @@ def _date(column: str, pattern: str) -> Column:
 
 
 def _money(column: str) -> Column:
-    return parse_decimal(F.col(column), 18, 2).alias(column)
+    return parse_decimal(F.col(column), 20, 4).alias(column)
 
 
 def _rate(column: str) -> Column:

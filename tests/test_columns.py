@@ -19,6 +19,7 @@ def test_tenor_limits_are_inclusive(spark):
         "decimal(9,4)")
     names = [label for _, label in labels.TENOR_LIMITS] + [labels.LONGEST_TENOR]
     assert got == [names[i] for i in (0, 0, 1, 1, 2, 3, 3, 4, 5)]
+    assert values(spark, labels.tenor_bucket, [None], "decimal(9,4)") == [labels.MISSING]
 
 
 def test_strategy(spark):

@@ -234,13 +234,29 @@ def test_load_counts(spark, bond_reports, repo_reports):
 
 def test_lookup_misses(spark, bond_reports, repo_reports):
     assert counted(spark, f"{bond_reports}/bond_job/lookup_misses", "misses") == {
-        "bond_custodian": 1, "institution_type": 1, "deal_strategy": 1, "deal_buyer": 0,
-        "deal_seller": 0, "collateral_rate": 2}
+        "bond_custodian": 1, "institution_type": 1, "deal_date": 0, "deal_amount": 0,
+        "deal_strategy": 1, "deal_buyer": 0, "deal_seller": 0, "collateral_rate": 2}
     assert counted(spark, f"{repo_reports}/repo_job/lookup_misses", "misses") == {
-        "member_type": 1, "member_root": 0, "deal_repo_party": 0, "deal_rvrse_party": 0,
+        "member_type": 1, "member_root": 0, "repo_deal_date": 0, "repo_deal_amount": 0,
+        "deal_repo_party": 0, "deal_rvrse_party": 0,
         "deal_product": 0, "deal_rating": 1, "collateral_bond": 1}
 
 
+def test_dirty_deals(spark, tmp_path):
+    """A bad date drops the deal, a bad number only its measure; both are counted."""
+    dirty = BOND_FEEDS["bond_deal"] + (
+        "D10,M1,M2,N1,2018/07/45,1,B1,CNY,100,1000,900,1,99,3,X1\n"
+        "D11,M1,M2,N1,2018/07/18,1,B1,CNY,n/a,1000,900,,99,3,X1\n")
+    out = str(tmp_path / "out")
+    bond_job.run(spark, write(tmp_path / "in", {**BOND_FEEDS, "bond_deal": dirty}), out, counts=True)
+    missed = counted(spark, f"{out}/bond_job/lookup_misses", "misses")
+    assert missed["deal_date"] == 1 and missed["deal_amount"] == 1
+    got = report(spark, out, "BOND_TURNOVER_RATE", "bond_id", "bond_prd", "trd_amnt_sum")
+    assert ("B1", "全部", 2700.0) in got and ("B1", "None", 1000.0) in got
+    got = report(spark, out, "BOND_DEAL_TREND_ORG", "bond_id", "org_id", "buy_ytm_rate_bf")
+    assert ("B1", "M1", 3.5) in got
+
+
 def test_late_deals_are_upserted(spark, tmp_path):
     out = str(tmp_path / "out")
     bond_job.run(spark, write(tmp_path / "in", BOND_FEEDS), out)
