@@ -16,8 +16,8 @@ def run(spark: SparkSession, feed_folder: str, output: str, upsert: bool = False
         counts: bool = False) -> None:
     paths = common.feed_paths(feed_folder, layouts.BOND_JOB_FEEDS)
     common.prepare(spark, paths)
-    inputs = loaders.bond_inputs(spark, paths)
     this_run = common.Run(spark, output, upsert)
+    inputs = this_run.stage_inputs(loaders.bond_inputs(spark, paths), "bonds", "members")
     deals = this_run.stage(bond.with_strategy(bond.clean_deals(inputs), inputs), "deals")
     held = this_run.stage(bond.positions(deals), "positions")
     this_run.write(bond.FROM_DEALS, deals, inputs)

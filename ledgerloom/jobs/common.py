@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,11 @@ class Run:
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         return stage(df, f"{self.work}/{name}")
 
+    def stage_inputs(self, inputs, *names: str):
+        """Inputs with the named frames staged: many reports look them up."""
+        staged = {name: self.stage(getattr(inputs, name), f"inputs/{name}") for name in names}
+        return replace(inputs, **staged)
+
     def write(self, reports: dict, relation: DataFrame, inputs) -> None:
         for name, build in reports.items():
             report, table = build(relation, inputs), REPORT_TABLES[name]

@@ -16,8 +16,8 @@ def run(spark: SparkSession, feed_folder: str, output: str, upsert: bool = False
         counts: bool = False) -> None:
     paths = common.feed_paths(feed_folder, layouts.REPO_JOB_FEEDS)
     common.prepare(spark, paths)
-    inputs = loaders.repo_inputs(spark, paths)
     this_run = common.Run(spark, output, upsert)
+    inputs = this_run.stage_inputs(loaders.repo_inputs(spark, paths), "bonds", "members")
     deals = this_run.stage(
         repo.valid_deals(inputs, rating=True, bank_flag=True, line_count=True), "deals")
     lines = this_run.stage(repo.collateral_lines(deals, inputs), "collateral_lines")

@@ -85,16 +85,15 @@ def valid_deals(inputs: RepoInputs, rating: bool = False, bank_flag: bool = Fals
                 line_count: bool = False) -> DataFrame:
     """R1, with the optional attributes a report needs.
 
-    The attributes keyed by deal come before the parties, while the deals are still
-    distributed by deal.
+    The line count comes first, while the deals are still distributed by their id.
     """
     deals = confirmed_deals(inputs)
+    if line_count:
+        deals = with_line_count(deals, inputs)
     if bank_flag:
         deals = with_bank_flag(deals, inputs)
     if rating:
         deals = with_rating(deals, inputs)
-    if line_count:
-        deals = with_line_count(deals, inputs)
     return with_valid_parties(deals, inputs)
 
 

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from ledgerloom.sources import feeds, layouts
@@ -73,3 +75,22 @@ def test_read_feed_from_files(spark, tmp_path):
 def test_split_record(spark):
     got = feeds.split_record(lines(spark, "a,b,,", "x"), ("p", "q", "r")).collect()
     assert [tuple(r) for r in got] == [("a", "b", ""), ("x", None, None)]
+
+
+def test_quoted_lines_round_trip(spark):
+    """Random fields, written with and without quotes, come back as they were."""
+    chooser = random.Random(7)
+    alphabet = ["a", "债", "1", " ", ",", '""', "x y"]
+    rows, texts = [], []
+    for _ in range(3000):
+        row = ["".join(chooser.choices(alphabet, k=chooser.randint(0, 6))).strip() for _ in range(4)]
+        written = []
+        for value in row:
+            plain = "," not in value and '"' not in value
+            written.append(value if plain and chooser.random() < 0.5 else f'"{value}"')
+        rows.append(row)
+        texts.append(chooser.choice([",", ", ", " ,"]).join(written) + chooser.choice(["", " "]))
+    numbered = spark.createDataFrame(list(enumerate(texts)), "n int, value string")
+    got = dict(map(tuple, numbered.select("n", feeds.split_fields(F.col("value"))).collect()))
+    wrong = [(texts[i], row, got[i]) for i, row in enumerate(rows) if got[i] != row]
+    assert not wrong, wrong[:3]
