@@ -253,8 +253,10 @@ def side_spread(t):
     def side(party):
         return deals.groupBy((F.col(party) % 10).alias("party_group"), "pd_cd")
 
-    repo_side = side("repo_pty_id").agg(price.alias("repo_price"), F.sum("trade_amnt").alias("repo_amount"))
-    reverse = side("rvrse_repo_pty_id").agg(price.alias("rvrse_price"), F.sum("trade_amnt").alias("rvrse_amount"))
+    repo_side = side("repo_pty_id").agg(
+        price.alias("repo_price"), F.sum("trade_amnt").alias("repo_amount"))
+    reverse = side("rvrse_repo_pty_id").agg(
+        price.alias("rvrse_price"), F.sum("trade_amnt").alias("rvrse_amount"))
     return repo_side.join(reverse, ["party_group", "pd_cd"]).select(
         "party_group", "pd_cd",
         (F.col("rvrse_price") - F.col("repo_price")).alias("price_difference"),

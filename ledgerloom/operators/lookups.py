@@ -1,16 +1,15 @@
 """Joins against reference data.
 
-Reference tables are broadcast up to a checked size and shuffled beyond it. Lists of
-deals are left to Spark's own estimate. The fact table stays on the left, the side
-on which AQE can split a hot key for every join type used here.
+Reference tables and lists are broadcast up to a checked size and shuffled beyond it.
+The fact table stays on the left, the side on which AQE can split a hot key for every
+join type used here.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
-from ledgerloom.session import broadcast_if_small
-
+from ledgerloom.session import broadcast_if_small, is_small
 
 APART = "_apart"
 
@@ -52,7 +51,11 @@ def drop_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str | No
 
 def _by_presence(df, listed, key, listed_key, how):
     members = listed.select(F.col(listed_key or key).alias(key))
-    return df.join(members, key, how)
+    if is_small(members):
+        return df.join(F.broadcast(members), key, how)
+    # a key listed many times is combined before the shuffle; see apart() for the hash
+    distinct = members.withColumn(APART, F.xxhash64(key)).distinct().drop(APART)
+    return df.join(distinct, key, how)
 
 
 def flag_listed(df: DataFrame, listed: DataFrame, key: str, flag: str,

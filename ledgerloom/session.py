@@ -66,7 +66,11 @@ def broadcast_if_small(reference: DataFrame) -> DataFrame:
     input size bounds a table built by key lookups, filters and grouping. Beyond the
     limit the join is a shuffle join, in which AQE splits hot keys.
     """
-    return F.broadcast(reference) if input_bytes(reference) <= BROADCAST_LIMIT else reference
+    return F.broadcast(reference) if is_small(reference) else reference
+
+
+def is_small(reference: DataFrame) -> bool:
+    return input_bytes(reference) <= BROADCAST_LIMIT
 
 
 def shared_folder(spark: SparkSession, fallback: str) -> str:
