@@ -105,17 +105,16 @@ def position_yields(deals: DataFrame) -> DataFrame:
 
     Before cleansing (bf) all trades count, after cleansing (af) normal ones.
     """
-    rate, weight = F.col("ytm_rate"), F.col("trade_amnt")
-
     def measures(side):
         on_side = F.col("side") == side
         normal = on_side & is_normal()
         return [
-            _or_zero(weighted_average(rate, weight, on_side)).alias(f"{side}_ytm_rate_bf"),
-            _or_zero(weighted_average(rate, weight, normal)).alias(f"{side}_ytm_rate_af"),
+            _or_zero(ratio(sum_if(c, F.col("weighted")), sum_if(c, F.col("trade_amnt")))).alias(name)
+            for c, name in ((on_side, f"{side}_ytm_rate_bf"), (normal, f"{side}_ytm_rate_af"))
         ]
 
-    return _by_position(deals, ["trade_amnt", "ytm_rate", "strategy"], measures)
+    deals = deals.withColumn("weighted", F.col("ytm_rate") * F.col("trade_amnt"))
+    return _by_position(deals, ["trade_amnt", "weighted", "strategy"], measures)
 
 
 def _by_position(deals, columns, measures):

@@ -163,8 +163,13 @@ def _by_category(legs: DataFrame, keys: list[str], measures: dict[str, Column],
     return legs.groupBy("ins_show_name", *keys).agg(*_side_sums(measures), *more)
 
 
-def _weighted(column: str) -> dict[str, Column]:
-    return {"weighted": F.col(column) * F.col("trade_amnt"), "sum_amount": F.col("trade_amnt")}
+def _weigh(deals: DataFrame, column: str) -> DataFrame:
+    """Product of value and amount, computed once per deal and not per leg."""
+    return deals.withColumn("weighted", F.col(column) * F.col("trade_amnt"))
+
+
+def _weighted() -> dict[str, Column]:
+    return {"weighted": F.col("weighted"), "sum_amount": F.col("trade_amnt")}
 
 
 def _amount() -> dict[str, Column]:
@@ -185,9 +190,9 @@ def _spread() -> Column:
 
 def member_price(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
     """MEMBER_PRICE_DEAL_INFO: weighted rate and amount per side, spread and total."""
-    legs = _sides(reported_products(deals), ["pd_cd", "deal_dt", "deal_repo_rate", "trade_amnt"],
-                  ["root_id", "kind"])
-    sums = _by_member(legs, ["pd_cd", "deal_dt"], _weighted("deal_repo_rate"))
+    deals = _weigh(reported_products(deals), "deal_repo_rate")
+    legs = _sides(deals, ["pd_cd", "deal_dt", "weighted", "trade_amnt"], ["root_id", "kind"])
+    sums = _by_member(legs, ["pd_cd", "deal_dt"], _weighted())
     return sums.select(
         "unq_id_in_src_sys", "join_type", "pd_cd", "deal_dt",
         _average(REPO, "weighted_price"), "repo_sum_amount",
@@ -199,13 +204,14 @@ def member_price(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
 
 def category_price(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
     """CTGRY_PRICE_DEAL_INFO: weighted, greatest and least rate per side and the spread."""
-    legs = _sides(reported_products(deals), ["pd_cd", "deal_dt", "deal_repo_rate", "trade_amnt"],
+    deals = _weigh(reported_products(deals), "deal_repo_rate")
+    legs = _sides(deals, ["pd_cd", "deal_dt", "deal_repo_rate", "weighted", "trade_amnt"],
                   ["ins_show_name"])
     extremes = [
         f(F.when(F.col("side") == side, F.col("deal_repo_rate"))).alias(f"{side}_{name}_deal_repo_rate")
         for side in SIDES for name, f in (("max", F.max), ("min", F.min))
     ]
-    sums = _by_category(legs, ["pd_cd", "deal_dt"], _weighted("deal_repo_rate"), *extremes)
+    sums = _by_category(legs, ["pd_cd", "deal_dt"], _weighted(), *extremes)
     return sums.select(
         "ins_show_name", "pd_cd", "deal_dt",
         _average(REPO, "weighted_price"), _average(REVERSE, "weighted_price"),
@@ -267,8 +273,9 @@ _CONVERSION = "weighted_cnvrsn_prprtn"
 
 
 def _member_conversion(lines: DataFrame, keys: list[str]) -> DataFrame:
-    legs = _sides(lines, [*keys, "trade_amnt", "cnvrsn_prprtn"], ["root_id", "kind"])
-    return _by_member(legs, keys, _weighted("cnvrsn_prprtn")).select(
+    lines = _weigh(lines, "cnvrsn_prprtn")
+    legs = _sides(lines, [*keys, "trade_amnt", "weighted"], ["root_id", "kind"])
+    return _by_member(legs, keys, _weighted()).select(
         "unq_id_in_src_sys", "join_type", *keys,
         _average(REPO, _CONVERSION), "repo_sum_amount",
         _average(REVERSE, _CONVERSION), "rvrse_sum_amount",
@@ -276,8 +283,9 @@ def _member_conversion(lines: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _category_conversion(lines: DataFrame, keys: list[str]) -> DataFrame:
-    legs = _sides(lines, [*keys, "trade_amnt", "cnvrsn_prprtn"], ["ins_show_name"])
-    return _by_category(legs, keys, _weighted("cnvrsn_prprtn")).select(
+    lines = _weigh(lines, "cnvrsn_prprtn")
+    legs = _sides(lines, [*keys, "trade_amnt", "weighted"], ["ins_show_name"])
+    return _by_category(legs, keys, _weighted()).select(
         "ins_show_name", *keys, _average(REPO, _CONVERSION), _average(REVERSE, _CONVERSION)
     )
 
