@@ -54,7 +54,7 @@ def shuffle_partitions(total_bytes: int) -> int:
 
 def input_bytes(df: DataFrame) -> int:
     """Size of the tables or files a frame is computed from."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.length()))
 
 

@@ -23,6 +23,7 @@ def _all_required(name, header_tag, columns, optional=()):
     return FeedLayout(name, header_tag, columns, required)
 
 
+# Header tags, column names and their order are those of the feeds.
 _MEMBER_COLUMNS = (
     "ip_id", "member_ctgry_id", "member_cd", "full_nm", "rt_member_cd",
     "rt_member_full_nm", "efctv_from_dt", "efctv_to_dt", "unq_id_in_src_sys",

@@ -41,6 +41,7 @@ def _table(name: str, key: str, text: str = "", dates: str = "", amounts: str =
     return ReportTable(name, tuple(key.split()), columns)
 
 
+# Table names, keys and columns are those of the report store.
 _BOTH_AMOUNTS = "repo_sum_amount rvrse_sum_amount"
 _BOTH_RATIOS = "repo_weighted_cnvrsn_prprtn rvrse_weighted_cnvrsn_prprtn"
 _MEMBER = "unq_id_in_src_sys join_type"
