@@ -145,15 +145,16 @@ def _side_sums(measures: dict[str, Column]) -> list[Column]:
 def _by_member(legs: DataFrame, keys: list[str], measures: dict[str, Column]) -> DataFrame:
     """Sums per root member and report group.
 
-    The deals are aggregated per (root, kind) first; only those rows are expanded
-    into the overlapping report groups and added up again.
+    The deals are aggregated per (root, kind, side) first; only those rows are expanded
+    into the overlapping report groups, added up again and laid out by side.
     """
-    per_kind = legs.groupBy("root_id", "kind", *keys).agg(*_side_sums(measures))
-    sums = [f"{side}_{name}" for side in SIDES for name in measures]
+    per_kind = legs.groupBy("root_id", "kind", "side", *keys).agg(
+        *[F.sum(value).alias(name) for name, value in measures.items()]
+    )
     return (
         expansion.expand_join_types(per_kind)
         .groupBy(*MEMBER_KEYS, *keys)
-        .agg(*[F.sum(c).alias(c) for c in sums])
+        .agg(*_side_sums({name: F.col(name) for name in measures}))
         .withColumnRenamed("root_id", "unq_id_in_src_sys")
     )
 
