@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_points
-from checks import compare
+from checks import compare, oracles, queries
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = queries.registered()
+ORACLES = oracles.registered()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +18,8 @@ def con(sf_check):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
