@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import common, decontaminate
+from ledgerloom.llm import common, decontaminate, near_dedup
+
+
+def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("benchmark decontamination", decontamination)]
+STAGES = [("MinHash near-dedup", near_deduplication), ("benchmark decontamination", decontamination)]
 ORACLE_SQL = None
 
 

@@ -64,11 +64,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_table(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns; further columns, also ones with clashing names, are left out."""
-    return df.select(*columns)
-
-
 def count_words(text: Column) -> Column:
     """Number of runs of characters other than ASCII white space; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

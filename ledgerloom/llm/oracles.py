@@ -9,6 +9,7 @@ def lowered(text: str) -> str:
     return f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
 
 
+SPACED_WORDS = r"[^\x20\x09-\x0D]+"
 OP1_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 OP1 = rf"""
@@ -32,6 +33,23 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP4 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({lowered('text')}, '{SPACED_WORDS}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + least(2, len(w)) - 1], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+           GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE 100 * i >= 80 * (na.n + nb.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+          UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(b) AS component_id, doc_id = min(b) AS kept
+FROM reach JOIN documents ON documents.doc_id = reach.a LEFT JOIN n USING (doc_id)
+GROUP BY doc_id, n
+"""
+
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": OP1,
+    "op4_minhash_near_dedup": OP4,
 }
