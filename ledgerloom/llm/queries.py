@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, near_dedup
+from ledgerloom.llm import (
+    context_mixing, decontaminate, fingerprints, labelled, mixing, near_dedup, quality, token_files, toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,3 +31,35 @@ def op1_benchmark_decontamination(spark, sf_dir):
 @query
 def op4_minhash_near_dedup(spark, sf_dir):
     return near_dedup.groups(table(spark, sf_dir, "documents"), shingle=2)
+
+
+@query
+def op8_quality_classifier(spark, sf_dir):
+    scored = quality.scored(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return labelled.digest(scored, quality.THRESHOLD)
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    scored = toxicity.scored(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return labelled.digest(scored, toxicity.THRESHOLD)
+
+
+@query
+def op7_mixing_sources(spark, sf_dir):
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_phrase_fingerprints(spark, sf_dir):
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_token_files(spark, sf_dir):
+    return token_files.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_context_mixing(spark, sf_dir):
+    return context_mixing.scores(table(spark, sf_dir, "documents"))
