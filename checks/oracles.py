@@ -118,14 +118,10 @@ VIEWS = {
         FROM buys b FULL JOIN sells s USING (deal_dt, bond_id, org_id)
         LEFT JOIN v_inst i ON org_id = i.ip_id AND deal_dt > i.efctv_from_dt AND deal_dt < i.efctv_to_dt""",
     "t3": """
-        SELECT ri_id, deal_dt,
-               coalesce({q(sum(CAST(cnvrsn_prprtn AS DOUBLE) * share * CAST(trade_amnt AS DOUBLE)),sum(trade_amnt))},
-                        0) AS zy_rate
-        FROM (SELECT c.ri_id, r.deal_dt, c.cnvrsn_prprtn, r.trade_amnt,
-                     CAST(c.total_face_value AS DOUBLE)
-                     / CAST(sum(c.total_face_value) OVER (PARTITION BY c.ri_id) AS DOUBLE) AS share
-              FROM v_cltrl c JOIN v_repo r ON c.ev_id = r.ev_id WHERE c.ri_id <> 0) shares
-        GROUP BY ri_id, deal_dt""",
+        SELECT c.ri_id, r.deal_dt,
+               coalesce({q(sum(c.cnvrsn_prprtn * r.trade_amnt),sum(r.trade_amnt))}, 0) AS zy_rate
+        FROM v_cltrl c, v_repo r WHERE c.ev_id = r.ev_id AND c.ri_id <> 0
+        GROUP BY c.ri_id, r.deal_dt""",
     "parties": """
         SELECT m.uniq, CAST(m.uniq AS VARCHAR) AS unq, coalesce(CAST(r.uniq AS VARCHAR), 'None') AS root,
                m.full_nm, m.ins_show_name, m.efctv_from_dt, m.efctv_to_dt

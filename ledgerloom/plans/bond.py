@@ -7,10 +7,10 @@ the bond table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions import labels
-from ledgerloom.functions.measures import quotient, ratio, sum_if, weighted_average
+from ledgerloom.functions.measures import ratio, sum_if, weighted_average
 from ledgerloom.operators import expansion
 from ledgerloom.operators.lookups import (
     drop_listed, keep_listed, lookup, one_per_key, valid_attribute,
@@ -127,26 +127,19 @@ def _by_position(deals, columns, measures):
 
 
 def collateral_rate(repo_deals: DataFrame, collateral: DataFrame) -> DataFrame:
-    """T3: conversion ratio per (instrument, date), weighted by share and amount.
+    """T3: conversion ratio per (instrument, date), weighted by the amount of the deal.
 
-    The share is the line's face value in the face value of the instrument over all
-    dates. That total is the same for all lines of an instrument, so it is divided
-    out after the aggregation: the window sees one row per instrument and date.
+    sum(ratio * amount) / sum(amount) over the day's collateral lines, 0 if there are none or
+    the amounts add up to 0. A day's rate depends on that day's deals alone.
     """
     lines = collateral.where(F.col("ri_id") != F.lit("0").cast(collateral.schema["ri_id"].dataType))
-    weighted_face = (F.col("cnvrsn_prprtn") * F.col("total_face_value")).cast("decimal(19,6)")
     daily = (
-        lines.join(repo_deals.select("ev_id", "deal_dt", "trade_amnt"), "ev_id")
+        lines.select("ri_id", "ev_id", "cnvrsn_prprtn")
+        .join(repo_deals.select("ev_id", "deal_dt", "trade_amnt"), "ev_id")
         .groupBy("ri_id", "deal_dt")
-        .agg(
-            F.sum(weighted_face * F.col("trade_amnt")).alias("weighted"),
-            F.sum("total_face_value").alias("face"),
-            F.sum("trade_amnt").alias("amount"),
-        )
+        .agg(weighted_average(F.col("cnvrsn_prprtn"), F.col("trade_amnt")).alias("zy_rate"))
     )
-    total_face = F.sum("face").over(Window.partitionBy("ri_id"))
-    rate = ratio(quotient(F.col("weighted"), total_face), F.col("amount"))
-    return daily.select("ri_id", "deal_dt", _or_zero(rate).alias("zy_rate"))
+    return daily.select("ri_id", "deal_dt", _or_zero(F.col("zy_rate")).alias("zy_rate"))
 
 
 def _or_zero(measure: Column) -> Column:
@@ -201,10 +194,13 @@ def bond_turnover_rate(deals: DataFrame, inputs: BondInputs,
                        rates: DataFrame | None = None) -> DataFrame:
     """BOND_TURNOVER_RATE: turnover per (date, bond, tenor) and over all tenors.
 
-    Only the all-tenor rows carry the collateral rate, 0 where there is none.
+    Only the all-tenor rows carry the collateral rate, 0 where there is none. Tenor rows hold
+    the amounts of that tenor, and bonds without face value have no rows; a literal reading of
+    the stored tables would put the whole day's amounts on each tenor row.
     """
     if rates is None:
-        rates = collateral_rate(inputs.repo_deals, inputs.collateral)
+        reported = keep_listed(inputs.collateral, inputs.bonds, "ri_id", "bond_id")
+        rates = collateral_rate(inputs.repo_deals, reported)
     by_tenor = deals.groupBy("deal_dt", "bond_id", tenor().alias("tenor")).agg(
         F.sum("face_amnt").alias("face_sum"), F.sum("dirty_amnt").alias("trd_amnt_sum")
     )
