@@ -9,11 +9,15 @@
    the centre of a star of candidate pairs, so a bucket of m members costs m - 1 pairs.
 4. Candidate pairs are confirmed on the full shingle sets, and confirmed links joined to
    components by alternating large-star and small-star steps.
-5. A star can miss a link between two of its outer members. So every bucket that still
-   spans several components gets further centres, from its smallest component first, until
-   each bucket lies in one component or all its members have been centres. From the fourth
-   round on the number of centres doubles. Nothing is capped, and pairs within a component
-   are never compared.
+5. A star can miss a link between two of its outer members. What is left after the first
+   stars are buckets that still span several components, and there every pair across
+   components counts:
+   - Large buckets that share members form a family. Its fringe, all but the members of its
+     largest component, is held against the whole family, in blocks of bounded size; only
+     confirmed links leave a task.
+   - Small buckets get further centres, ``CENTRE_GROWTH`` times more from round to round, until
+     each lies in one component or all its members have been centres.
+   Nothing is capped, and pairs within a component are never compared.
 
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8^6)^48, below 5e-7.
 
@@ -30,10 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.llm import common
+from ledgerloom.llm.hashing import WordHashes
 from ledgerloom.operators.lookups import APART, apart
 
 SHINGLE_WORDS = 5
@@ -41,26 +45,16 @@ THRESHOLD_PERCENT = 80
 BANDS = 48
 BINS = 288
 SEED = 20
-# Word hashes that a worker remembers; beyond it starts afresh.
-REMEMBERED_WORDS = 1 << 20
-# Rounds with a single new centre for each bucket, before their number doubles.
-SINGLE_CENTRE_ROUNDS = 3
+# Unresolved buckets of more members are held block against block.
+SMALL_BUCKET = 32
+CENTRE_GROWTH = 8
+BLOCK_MEMBERS = 256
 
 SIGNED = "doc_id long, n_shingles long, class binary, bands array<long>"
 
 
 # ------------------------------------------------------------------ one document
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def words(text: bytes | None) -> list[bytes]:
     """Runs of characters other than ASCII white space, A-Z lower-cased."""
     return text.translate(common.LOWER).split() if text else []
@@ -78,7 +72,7 @@ def shingles(found: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
     n = min(size, len(found))
     if not n:
         return np.zeros(0, dtype=np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
+    w = hashes.array(found)
     acc = np.full(len(found) - n + 1, n, dtype=np.uint64)
     for j in range(n):
         acc = acc * np.uint64(0x9E3779B97F4A7C15) + w[j:len(w) - n + 1 + j]
@@ -201,9 +195,7 @@ def _bucket_members(signed: DataFrame, classes: DataFrame) -> DataFrame:
     return placed.join(shared, "bucket").select("bucket", "node", "n")
 
 
-def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return members.withColumn("root", F.col("node"))
+def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
@@ -221,7 +213,7 @@ def _centres(members: DataFrame, number: int) -> DataFrame:
     is_centre = F.col("node") == F.col("centre")
     if number > 1:
         is_centre |= F.pmod(F.xxhash64("node", "bucket"), F.col("in_bucket")) < number
-    return members.join(spread, "bucket").select("bucket", "node", "n", "root", is_centre.alias("is_centre"))
+    return members.join(spread, "bucket").select("bucket", "node", "n", "root", "in_bucket", is_centre.alias("is_centre"))
 
 
 def _stars(marked: DataFrame, percent: int) -> DataFrame:
@@ -239,6 +231,86 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return common.map_batches(both.select("a", "b", "text_a", "text_b"), _confirm(size, percent), "a long, b long")
 
 
+# ------------------------------------------------------------------ families
+
+def _sets(size: int):
+    """(node, shingles) of (node, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            sets = [shingles(words(text), size, hashes).tobytes() for text in common.texts_of(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    return run
+
+
+def _blocks(large: DataFrame) -> DataFrame:
+    """(family, fringe_block, member_block, is_fringe, node, root): who meets whom.
+
+    ``large``: (bucket, node, root) of large unresolved buckets. A fringe member goes to all
+    member blocks of its own fringe block, a member to all fringe blocks.
+    """
+    first = apart(large, "bucket").agg(F.min("node").alias("a")).drop(APART)
+    families = components(large.join(first, "bucket").select("a", F.col("node").alias("b")))
+    nodes = large.select("node", "root").distinct().join(
+        families.withColumnRenamed("root", "family"), "node", "left").withColumn("family", F.coalesce("family", "node"))
+    nodes = common.staged(nodes, "families")
+    parts = nodes.groupBy("family", "root").agg(F.count("*").alias("size"))
+    sizes = apart(parts, "family").agg(
+        F.sum("size").alias("members"), F.max("size").alias("largest"), F.max_by("root", "size").alias("main")).drop(APART)
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK_MEMBERS)).cast("long")
+    sizes = sizes.where(F.col("members") > F.col("largest")).select(
+        "family", "main", blocks(F.col("members") - F.col("largest")).alias("fringe_blocks"),
+        blocks(F.col("members")).alias("member_blocks"))
+    placed = nodes.join(sizes, "family")
+    every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    as_member = placed.select("family", "node", "root", F.lit(False).alias("is_fringe"),
+                              mine("member_blocks").alias("member_block"), F.explode(every("fringe_blocks")).alias("fringe_block"))
+    as_fringe = placed.where(F.col("root") != F.col("main")).select(
+        "family", "node", "root", F.lit(True).alias("is_fringe"), F.explode(every("member_blocks")).alias("member_block"),
+        mine("fringe_blocks").alias("fringe_block"))
+    return as_member.unionByName(as_fringe)
+
+
+def _meet(percent: int):
+    """Confirmed links of one fringe block and one member block."""
+    def run(block: pa.Table) -> pa.Table:
+        is_fringe = np.asarray(block.column("is_fringe"))
+        node, root = np.asarray(block.column("node")), np.asarray(block.column("root"))
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in block.column("shingles").to_pylist()]
+        member, fringe = np.flatnonzero(~is_fringe), np.flatnonzero(is_fringe)
+        a, b = [], []
+        if len(member) and len(fringe):
+            size = np.array([len(sets[m]) for m in member])
+            _, token = np.unique(np.concatenate([sets[m] for m in member]), return_inverse=True)
+            known = np.unique(np.concatenate([sets[m] for m in member]))
+            begin = np.cumsum(np.r_[0, size[:-1]])
+            for f in fringe:
+                marked = np.zeros(len(known) + 1, dtype=np.int64)
+                place = np.searchsorted(known, sets[f])
+                place[place == len(known)] = 0
+                marked[place[known[place] == sets[f]]] = 1
+                shared = np.add.reduceat(marked[token], begin)
+                near = (100 * shared >= percent * (size + len(sets[f]) - shared)) & (root[member] != root[f])
+                a += [node[f]] * int(near.sum())
+                b += node[member[near]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _family_links(large: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    placed = common.staged(_blocks(large), "blocks")
+    own = texts.join(placed.select("node").distinct(), "node", "left_semi")
+    sets = common.map_batches(own.select("node", "text"), _sets(size), "node long, shingles binary")
+    met = placed.join(sets, "node").groupBy("family", "fringe_block", "member_block").applyInArrow(
+        _meet(percent), "a long, b long")
+    return met.distinct()
+
+
+# ------------------------------------------------------------------ operator
+
 def groups(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT,
            bins: int = BINS, bands: int = BANDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least doc_id linked), kept."""
@@ -255,19 +327,22 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, percent: int = THRE
     held = common.staged(
         texts.join(in_buckets, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "texts")
 
-    links, roots, round_ = repeated, None, 0
+    marked = common.staged(_centres(members.withColumn("root", F.col("node")), 1), "centres")
+    roots = components(repeated.unionByName(_confirmed(_stars(marked, percent), held, shingle, percent)))
+    as_links = lambda known: known.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    left = common.staged(_centres(_labelled(marked.where(~F.col("is_centre")).select("bucket", "node", "n"), roots),
+                                  CENTRE_GROWTH), "centres")
+    large = left.where(F.col("in_bucket") > SMALL_BUCKET)
+    if not large.isEmpty():
+        roots = components(as_links(roots).unionByName(
+            _family_links(large.select("bucket", "node", "root"), held, shingle, percent)))
+    members, number = left.where(F.col("in_bucket") <= SMALL_BUCKET).select("bucket", "node", "n"), CENTRE_GROWTH
     while True:
-        number = 1 << max(0, round_ - SINGLE_CENTRE_ROUNDS)
         marked = common.staged(_centres(_labelled(members, roots), number), "centres")
         if marked.isEmpty():
             break
-        links = links.unionByName(_confirmed(_stars(marked, percent), held, shingle, percent))
-        roots = components(links)
-        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        members = marked.where(~F.col("is_centre")).select("bucket", "node", "n")
-        round_ += 1
-    if roots is None:
-        roots = components(links)
+        roots = components(as_links(roots).unionByName(_confirmed(_stars(marked, percent), held, shingle, percent)))
+        members, number = marked.where(~F.col("is_centre")).select("bucket", "node", "n"), number * CENTRE_GROWTH
 
     labelled = _labelled(classes, roots).select("class", "root")
     by_class = apart(labelled, "class").agg(F.min("root").alias("root")).drop(APART)

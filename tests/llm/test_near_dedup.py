@@ -69,6 +69,24 @@ def test_star_misses_are_found(spark):
     assert set(found.values()) == {0}
 
 
+def test_family_fringe(spark, monkeypatch):
+    """Many copies of one text around the threshold, so that buckets are large and unresolved."""
+    monkeypatch.setattr(nd, "SMALL_BUCKET", 3)
+    monkeypatch.setattr(nd, "BLOCK_MEMBERS", 7)
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(50)]
+    base = rng.choices(vocabulary, k=90)
+    docs = []
+    for i in range(90):
+        copy = list(base)
+        for _ in range(rng.choice([2, 3, 4, 6])):
+            copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+        docs.append((i, " ".join(copy)))
+    truth = {i: c for i, (_, c) in brute(docs, 2, 80).items()}
+    assert 3 < len(set(truth.values())) < 80
+    assert {r.doc_id: r.component_id for r in nd.groups(frame(spark, docs), shingle=2).collect()} == truth
+
+
 def test_removal(spark):
     text = " ".join(f"u{i}" for i in range(30))
     docs = frame(spark, [(5, text), (3, text), (3, text), (9, "alone"), (None, text), (None, None), (7, None), (8, "")])
