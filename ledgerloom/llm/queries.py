@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import (
-    context_mixing, decontaminate, fingerprints, labelled, mixing, near_dedup, quality, token_files, toxicity,
+    context_mixing, decontaminate, fingerprints, labelled, mixing, near_dedup, pii, quality, secrets, token_files,
+    toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,13 @@ def op3_token_files(spark, sf_dir):
 @query
 def op10_context_mixing(spark, sf_dir):
     return context_mixing.scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_secret_scan(spark, sf_dir):
+    return secrets.findings(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_personal_data(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))
