@@ -43,7 +43,7 @@ def test_findings(spark):
 def test_judged_findings_are_followed(spark):
     rows, truth = corpus(2)
     docs = spark.createDataFrame(rows, DOCS)
-    judged = sc.candidates(docs).withColumn("label", (1.0 * (sc.F.col("hexadecimal") == 0)).cast("double"))
+    judged = sc.candidates(docs).withColumn("label", (sc.F.col("hexadecimal") == 0).cast("double"))
     found = {(r.doc_id, r.start): r.is_secret for r in sc.findings(docs, judged).collect()}
     wanted = {(r.doc_id, int(r.start)): r.label == 1 for r in judged.collect()}
     assert sum(found[k] == v for k, v in wanted.items()) >= 0.98 * len(wanted)
