@@ -147,7 +147,7 @@ VIEWS = {
 
 
 def _round(value: str) -> str:
-    return f"CAST(round(CAST({value} AS DECIMAL(38,12)), 6) AS DOUBLE)"
+    return f"CAST(round(round(CAST({value} AS DECIMAL(38,12)), 10), 6) AS DOUBLE)"
 
 
 def _q(numerator: str, denominator: str) -> str:
@@ -406,6 +406,10 @@ def _empty(name: str, fact: str, column: str) -> str:
 _OPERATORS = {
     "scan_feed_clean": _ORG_FIELDS,
     "scan_feed_required": f"SELECT * FROM ({_ORG_FIELDS}) f WHERE chn_full_nm <> ''",
+    "scan_feed_first_line": _ORG_FIELDS.replace("NOT IN (2, 3)", "<> 2"),
+    "scan_feed_rejects": """
+        SELECT CASE s_suppkey % 7 WHEN 2 THEN 'field count' WHEN 3 THEN 'header tag' ELSE 'kept' END AS reason,
+               count(*) AS n_lines FROM supplier GROUP BY 1""",
     "split_records": """
         SELECT strftime(o_orderdate, '%Y/%m/%d') AS deal_dt, CAST(o_custkey AS VARCHAR) AS org_nm,
                o_orderstatus AS player_type, o_orderpriority AS bond_type,
@@ -509,13 +513,13 @@ _OPERATORS = {
         FROM v_repo d JOIN v_cltrl c ON d.ev_id = c.ev_id LEFT JOIN v_cbond k ON c.ri_id = k.bond_id
         WHERE d.st <> 'P' AND d.ev_id IN (SELECT deal_nmbr FROM v_strategy)""",
     "side_spread": """
-        SELECT a.g AS party_group, a.pd_cd, {r(b.p - a.p)} AS price_difference,
+        SELECT a.g AS party_group, a.pd_cd, {r(b.p / CAST(b.s AS DOUBLE) - a.p / CAST(a.s AS DOUBLE))} AS price_difference,
                CAST(a.s + b.s AS DOUBLE) AS total_amount
         FROM (SELECT repo_uniq % 10 AS g, pd_cd,
-                     {q(sum(deal_repo_rate * trade_amnt),sum(trade_amnt))} AS p, sum(trade_amnt) AS s
+                     CAST(sum(deal_repo_rate * trade_amnt) AS DOUBLE) AS p, sum(trade_amnt) AS s
               FROM v_repo WHERE pd_cd IN ('R001', 'R007', 'R014') GROUP BY ALL) a
         JOIN (SELECT rvrse_uniq % 10 AS g, pd_cd,
-                     {q(sum(deal_repo_rate * trade_amnt),sum(trade_amnt))} AS p, sum(trade_amnt) AS s
+                     CAST(sum(deal_repo_rate * trade_amnt) AS DOUBLE) AS p, sum(trade_amnt) AS s
               FROM v_repo WHERE pd_cd IN ('R001', 'R007', 'R014') GROUP BY ALL) b
           ON a.g = b.g AND a.pd_cd = b.pd_cd""",
     "buy_sell_full_outer": "SELECT deal_dt, bond_id, org_id, " + _dbl(
@@ -525,6 +529,9 @@ _OPERATORS = {
                {_q('total_face_value', 'sum(total_face_value) OVER (PARTITION BY ri_id)')} AS share
         FROM v_cltrl""",
     "collateral_rate": "SELECT ri_id, deal_dt, zy_rate FROM t3",
+    "small_ratio": """
+        SELECT s_suppkey, CAST((50 + s_suppkey % 7) / CAST(1000000000 AS DOUBLE) AS DECIMAL(20,10))::DOUBLE AS turnover
+        FROM supplier""",
     "wavg_rate": f"""
         SELECT pd_cd, deal_dt, {_q('sum(deal_repo_rate * trade_amnt)', 'sum(trade_amnt)')} AS weighted_rate,
                CAST(sum(trade_amnt) AS DOUBLE) AS amount

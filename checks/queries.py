@@ -49,9 +49,9 @@ def _runner(build):
 
 
 def _decimals_as_double(df: DataFrame) -> DataFrame:
-    """Decimals as double, so that both engines hand over the same kind of number."""
+    """Decimals as double of six digits, so that both engines hand over the same number."""
     return df.select(*[
-        F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
+        F.round(f.name, 6).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
         else F.col(f.name) for f in df.schema.fields
     ])
 
@@ -69,6 +69,17 @@ def scan_feed_required(t):
     return feeds.parse_feed(b.org_lines(t), layout)
 
 
+@query
+def scan_feed_first_line(t):
+    """Lines that hold the header tag in their data are kept."""
+    return feeds.parse_feed(b.org_lines(t), layouts.BOND_ORG, header=feeds.FIRST_LINE)
+
+
+@query
+def scan_feed_rejects(t):
+    return feeds.rejects(b.org_lines(t), layouts.BOND_ORG)
+
+
 @query
 def split_records(t):
     return feeds.split_record(b.trade_lines(t), layouts.TRADE_COLUMNS)
@@ -247,20 +258,16 @@ def deal_collateral_fanout(t):
 
 @query
 def side_spread(t):
-    deals = repo.reported_products(b.repo_deals(t))
-    price = weighted_average(F.col("deal_repo_rate"), F.col("trade_amnt"))
+    deals = repo.reported_products(b.repo_deals(t)).withColumn(
+        "weighted", F.col("deal_repo_rate") * F.col("trade_amnt"))
 
-    def side(party):
-        return deals.groupBy((F.col(party) % 10).alias("party_group"), "pd_cd")
+    def side(party, name):
+        return deals.groupBy((F.col(party) % 10).alias("party_group"), "pd_cd").agg(
+            F.sum("weighted").alias(f"{name}_weighted"), F.sum("trade_amnt").alias(f"{name}_sum_amount"))
 
-    repo_side = side("repo_pty_id").agg(
-        price.alias("repo_price"), F.sum("trade_amnt").alias("repo_amount"))
-    reverse = side("rvrse_repo_pty_id").agg(
-        price.alias("rvrse_price"), F.sum("trade_amnt").alias("rvrse_amount"))
-    return repo_side.join(reverse, ["party_group", "pd_cd"]).select(
-        "party_group", "pd_cd",
-        (F.col("rvrse_price") - F.col("repo_price")).alias("price_difference"),
-        (F.col("repo_amount") + F.col("rvrse_amount")).alias("total_amount"))
+    both = side("repo_pty_id", repo.REPO).join(side("rvrse_repo_pty_id", repo.REVERSE), ["party_group", "pd_cd"])
+    total = F.col(f"{repo.REPO}_sum_amount") + F.col(f"{repo.REVERSE}_sum_amount")
+    return both.select("party_group", "pd_cd", repo.spread(), total.alias("total_amount"))
 
 
 @query
@@ -282,6 +289,14 @@ def collateral_rate(t):
     return bond.collateral_rate(b.repo_deals(t), b.collateral(t))
 
 
+@query
+def small_ratio(t):
+    """A turnover of some 5e-8 keeps the digits that the report tables hold."""
+    return t.supplier.select("s_suppkey", ratio(
+        (50 + F.col("s_suppkey") % 7).cast("decimal(18,2)"),
+        F.lit(1_000_000_000).cast("decimal(18,2)")).cast("double").alias("turnover"))
+
+
 # ---------------------------------------------------------------- aggregations
 
 @query

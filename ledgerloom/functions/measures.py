@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-RATIO_DIGITS = 6
+# Digits that the report tables hold.
+RATIO_DIGITS = 10
 
 
 def quotient(numerator: Column, denominator: Column) -> Column:

@@ -27,6 +27,7 @@ def run(spark: SparkSession, feed_folder: str, output: str, upsert: bool = False
     if counts:
         feeds = loaders.read_feeds(spark, paths, layouts.BOND_JOB_FEEDS)
         common.write_counts(feeds, counters.bond_misses(inputs), f"{this_run.output}/bond_job")
+    this_run.close()
 
 
 def main() -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.operators.quality import load_counts
 from ledgerloom.session import shared_folder, tune
 from ledgerloom.sources.feeds import read_lines
-from ledgerloom.sources.sinks import stage, upsert_report, write_report
+from ledgerloom.sources.sinks import remove, stage, upsert_report, write_report
 from ledgerloom.sources.tables import REPORT_TABLES
 
 
@@ -19,8 +19,9 @@ class Run:
     """One run of a job: where it writes reports and stages shared relations.
 
     Staged relations go to the cluster's shared checkpoint folder where one is set,
-    else below the output folder; each run has a folder of its own there. Reports
-    replace their tables, or with ``upsert`` only the rows with the same keys.
+    else below the output folder; each run has a folder of its own there, which
+    ``close`` removes once all reports are written. Reports replace their tables, or with
+    ``upsert`` only the rows with the same keys.
     """
 
     def __init__(self, spark: SparkSession, output: str, upsert: bool = False):
@@ -36,6 +37,10 @@ class Run:
         staged = {name: self.stage(getattr(inputs, name), f"inputs/{name}") for name in names}
         return replace(inputs, **staged)
 
+    def close(self) -> None:
+        """Remove the staged relations; a run that fails leaves them for inspection."""
+        remove(self.spark, self.work)
+
     def write(self, reports: dict, relation: DataFrame, inputs) -> None:
         for name, build in reports.items():
             report, table = build(relation, inputs), REPORT_TABLES[name]

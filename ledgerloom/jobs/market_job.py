@@ -17,7 +17,7 @@ from ledgerloom.plans import market
 from ledgerloom.session import tune
 from ledgerloom.sources.feeds import read_lines, split_record
 from ledgerloom.sources.layouts import TRADE_COLUMNS
-from ledgerloom.sources.loaders import SLASHED
+from ledgerloom.sources.loaders import MONEY, SLASHED
 
 
 def trades(lines: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def trades(lines: DataFrame) -> DataFrame:
     records = split_record(lines, TRADE_COLUMNS)
     typed = records.withColumns({
         "deal_dt": parse_date(F.col("deal_dt"), SLASHED),
-        "amount": parse_decimal(F.col("amount"), 18, 2),
+        "amount": parse_decimal(F.col("amount"), *MONEY),
     })
     return typed.where(F.col("deal_dt").isNotNull())
 

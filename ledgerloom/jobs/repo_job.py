@@ -27,6 +27,7 @@ def run(spark: SparkSession, feed_folder: str, output: str, upsert: bool = False
     if counts:
         feeds = loaders.read_feeds(spark, paths, layouts.REPO_JOB_FEEDS)
         common.write_counts(feeds, counters.repo_misses(inputs), f"{this_run.output}/repo_job")
+    this_run.close()
 
 
 def main() -> None:

@@ -181,7 +181,7 @@ def _average(side: str, name: str) -> Column:
     return ratio(F.col(f"{side}_weighted"), F.col(f"{side}_sum_amount")).alias(f"{side}_{name}")
 
 
-def _spread() -> Column:
+def spread() -> Column:
     """Reverse price less repo price; null unless both sides traded."""
     price = {side: quotient(F.col(f"{side}_weighted"), F.col(f"{side}_sum_amount")) for side in SIDES}
     return rounded(price[REVERSE] - price[REPO]).alias("price_difference")
@@ -198,7 +198,7 @@ def member_price(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
         "unq_id_in_src_sys", "join_type", "pd_cd", "deal_dt",
         _average(REPO, "weighted_price"), "repo_sum_amount",
         _average(REVERSE, "weighted_price"), "rvrse_sum_amount",
-        _spread(),
+        spread(),
         (F.col("repo_sum_amount") + F.col("rvrse_sum_amount")).alias("total_amount"),
     )
 
@@ -217,7 +217,7 @@ def category_price(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
         "ins_show_name", "pd_cd", "deal_dt",
         _average(REPO, "weighted_price"), _average(REVERSE, "weighted_price"),
         "repo_max_deal_repo_rate", "repo_min_deal_repo_rate",
-        "rvrse_max_deal_repo_rate", "rvrse_min_deal_repo_rate", _spread(),
+        "rvrse_max_deal_repo_rate", "rvrse_min_deal_repo_rate", spread(),
     )
 
 

@@ -6,6 +6,8 @@ doubled quotes as they are, drop text after a closing quote and trim inside quot
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.sources.layouts import FeedLayout
@@ -17,26 +19,46 @@ _ENCLOSING_QUOTES = r'^"|"[^"]*$'
 _BLANKS = " \t\r\n\x0b\x0c"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+# How a feed marks its header: the first line of each file, or any line that holds the
+# layout's tag. The tags are short and also occur in names, so tags may drop data lines.
+FIRST_LINE, TAG = "first line", "tag"
+
 
+def read_lines(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
+    """Lines as column ``value``; with ``FIRST_LINE`` without the first line of each file."""
+    if header != FIRST_LINE:
+        return spark.read.text(path)
+    # a one-column CSV whose separator and quotes never occur: Spark skips the header line
+    # of each file, however the file is split
+    return (
+        spark.read.schema("value string")
+        .options(header=True, sep="\x01", quote="", escape="", maxCharsPerColumn=-1,
+                 enforceSchema=True, mode="PERMISSIVE")
+        .csv(path)
+    )
 
-def read_feed(spark: SparkSession, path: str, layout: FeedLayout) -> DataFrame:
+
+def read_feed(spark: SparkSession, path: str, layout: FeedLayout, header: str = FIRST_LINE) -> DataFrame:
     """Read one feed file (or folder of files) into named text columns."""
-    return parse_feed(read_lines(spark, path), layout)
+    return parse_feed(read_lines(spark, path, header), layout, header=header)
 
 
-def data_lines(lines: DataFrame, header_tag: str, value: str = "value") -> DataFrame:
-    """Drop empty lines and every line that contains the header tag anywhere."""
+def data_lines(lines: DataFrame, header_tag: str | None, value: str = "value") -> DataFrame:
+    """Drop empty lines and, if a tag is given, every line that contains it anywhere."""
     line = F.col(value)
-    return lines.where((F.length(line) > 0) & ~line.contains(header_tag))
+    kept = lines.where(F.length(line) > 0)
+    return kept if header_tag is None else kept.where(~line.contains(header_tag))
+
 
+def parse_feed(lines: DataFrame, layout: FeedLayout, value: str = "value", header: str = TAG) -> DataFrame:
+    """Turn text lines into the layout's columns; lines that do not fit are dropped.
 
-def parse_feed(lines: DataFrame, layout: FeedLayout, value: str = "value") -> DataFrame:
-    """Turn text lines into the layout's columns; lines that do not fit are dropped."""
+    With ``TAG`` lines that hold the header tag are dropped as well. ``rejects`` counts them.
+    """
     # explode of a one-element array keeps the split from being evaluated again for
     # the arity filter and for every column
-    fields = data_lines(lines, layout.header_tag, value).select(
+    tag = layout.header_tag if header == TAG else None
+    fields = data_lines(lines, tag, value).select(
         F.explode(F.array(split_fields(F.col(value)))).alias("fields")
     )
     width = len(layout.columns)
@@ -49,6 +71,22 @@ def parse_feed(lines: DataFrame, layout: FeedLayout, value: str = "value") -> Da
     return require(rows, layout.required)
 
 
+def rejects(lines: DataFrame, layout: FeedLayout, value: str = "value", header: str = TAG) -> DataFrame:
+    """(reason, n_lines): what ``parse_feed`` drops, and ``kept``. One pass over the lines."""
+    line = F.col(value)
+    rows = lines.select(line.alias("line"), F.explode(F.array(split_fields(line))).alias("fields"))
+    reason = F.when(F.coalesce(F.length("line"), F.lit(0)) == 0, "empty line")
+    if header == TAG:
+        reason = reason.when(F.col("line").contains(layout.header_tag), "header tag")
+    if layout.exact_arity:
+        reason = reason.when(F.size("fields") != len(layout.columns), "field count")
+    required = [layout.columns.index(c) for c in layout.required]
+    if required:
+        missing = [F.length(F.coalesce(F.get("fields", F.lit(i)), F.lit(""))) == 0 for i in required]
+        reason = reason.when(reduce(lambda a, b: a | b, missing), "empty field")
+    return rows.groupBy(reason.otherwise("kept").alias("reason")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def split_fields(line: Column) -> Column:
     """Array of the trimmed fields of a line; commas inside double quotes do not split."""
     quoted = F.transform(

@@ -1,7 +1,8 @@
 """Layouts of the positional feeds: column order is the contract.
 
-Every field arrives as text. A line is dropped if it holds the header tag, if its
-field count differs from the layout, or if a required field is empty.
+Every field arrives as text. A line is dropped if it is the header (the first line of a
+file, or by option any line that holds the header tag), if its field count differs from the
+layout, or if a required field is empty.
 """
 
 from __future__ import annotations

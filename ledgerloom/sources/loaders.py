@@ -14,6 +14,10 @@ from ledgerloom.plans.inputs import BondInputs, RepoInputs
 from ledgerloom.sources import layouts
 from ledgerloom.sources.feeds import read_feed
 
+# Digits of amounts and of rates: wide enough that feeds lose none, narrow enough that sums of
+# amount times rate stay exact in 38 digits.
+MONEY, RATE = (24, 6), (14, 8)
+
 # Date patterns, codes and the identifier prefix of the feeds. One-letter
 # month and day accept one or two digits.
 DASHED, SLASHED = "yyyy-M-d", "yyyy/M/d"
@@ -123,11 +127,11 @@ def _date(column: str, pattern: str) -> Column:
 
 
 def _money(column: str) -> Column:
-    return parse_decimal(F.col(column), 20, 4).alias(column)
+    return parse_decimal(F.col(column), *MONEY).alias(column)
 
 
 def _rate(column: str) -> Column:
-    return parse_decimal(F.col(column), 12, 6).alias(column)
+    return parse_decimal(F.col(column), *RATE).alias(column)
 
 
 def _validity(pattern: str) -> list[Column]:

@@ -5,6 +5,7 @@ A report table is a Parquet folder, partitioned by deal date where it has one.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators.merging import upsert
@@ -14,9 +15,14 @@ PARTITION = "deal_dt"
 
 
 def write_report(df: DataFrame, table: ReportTable, folder: str) -> str:
-    """Replace the whole table."""
+    """Replace the whole table, whatever overwrite mode the session has set."""
     path = report_path(table, folder)
-    _partitioned(table.conform(df), table).mode("overwrite").parquet(path)
+    (
+        _partitioned(table.conform(df), table)
+        .option("partitionOverwriteMode", "static")
+        .mode("overwrite")
+        .parquet(path)
+    )
     return path
 
 
@@ -25,12 +31,14 @@ def upsert_report(arriving: DataFrame, table: ReportTable, folder: str, work_fol
 
     The merged partitions are written to ``work_folder`` first: a table cannot be read
     and overwritten in one job, and a lost executor then costs no data. Use a work
-    folder once.
+    folder once. A table that is not there yet counts as empty.
     """
     spark = arriving.sparkSession
     path = report_path(table, folder)
     fresh = stage(table.conform(arriving), f"{work_folder}/{table.name}_arriving")
-    existing = read_report(spark, table, folder)
+    existing = _existing(spark, table, folder)
+    if existing is None:
+        return write_report(fresh, table, folder)
     if PARTITION in table.key:
         existing = existing.where(F.col(PARTITION).isin(_days(fresh)))
     merged = upsert(existing, fresh, list(table.key)).select(*table.columns)
@@ -44,6 +52,15 @@ def upsert_report(arriving: DataFrame, table: ReportTable, folder: str, work_fol
     return path
 
 
+def _existing(spark: SparkSession, table: ReportTable, folder: str) -> DataFrame | None:
+    try:
+        return read_report(spark, table, folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def _days(df: DataFrame) -> list:
     """Distinct deal dates, at most one per calendar day; as literals they prune partitions."""
     return [row[0] for row in df.select(PARTITION).distinct().collect()]
@@ -66,6 +83,12 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_text(df: DataFrame, path: str) -> None:
     """Write a one-column frame of text lines."""
     df.write.mode("overwrite").text(path)

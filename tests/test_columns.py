@@ -51,8 +51,13 @@ def test_weighted_average(spark):
 
 
 def test_halves_round_up(spark):
-    got = spark.range(1).select(measures.ratio(F.lit(41), F.lit(640)), measures.ratio(F.lit(-41), F.lit(640)))
-    assert tuple(got.first()) == (Decimal("0.064063"), Decimal("-0.064063"))
+    got = spark.range(1).select(measures.ratio(F.lit(1), F.lit(2048)), measures.ratio(F.lit(-1), F.lit(2048)))
+    assert tuple(got.first()) == (Decimal("0.0004882813"), Decimal("-0.0004882813"))
+
+
+def test_small_ratios_are_not_zero(spark):
+    got = spark.range(1).select(measures.ratio(F.lit(50), F.lit(1_000_000_000)))
+    assert got.first()[0] == Decimal("0.0000000500")
 
 
 def test_dates(spark):

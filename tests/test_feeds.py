@@ -94,3 +94,26 @@ def test_quoted_lines_round_trip(spark):
     got = dict(map(tuple, numbered.select("n", feeds.split_fields(F.col("value"))).collect()))
     wrong = [(texts[i], row, got[i]) for i, row in enumerate(rows) if got[i] != row]
     assert not wrong, wrong[:3]
+
+
+def test_data_line_with_the_tag_is_kept(spark, tmp_path):
+    text = "bond_id,x\nB1,BONDCO Ltd\nB2,\\ back \"quoted, BOND\"\n\n\tB3 , x \n"
+    (tmp_path / "a").mkdir()
+    for name in ("one.csv", "two.csv"):
+        (tmp_path / "a" / name).write_text(text.replace("B", name[0].upper()), encoding="utf-8")
+    layout = FeedLayout("f", "BOND", ("key", "name"))
+    first = feeds.read_feed(spark, str(tmp_path / "a"), layout)
+    found = sorted(tuple(r) for r in first.collect())
+    assert ("O1", "OONDCO Ltd") in found and ("T3", "x") in found and len(found) == 6
+    tagged = feeds.parse_feed(lines(spark, "BOND,h", "B1,BONDCO Ltd", "B2,x"), layout, header=feeds.TAG)
+    assert [tuple(r) for r in tagged.collect()] == [("B2", "x")]
+
+
+def test_rejects_are_counted(spark):
+    layout = FeedLayout("f", "TAG", ("a", "b"), ("a",))
+    given = lines(spark, "TAG,x", "", "1,2,3", ",2", "1,2", '"1, 1",2')
+    counts = {r.reason: r.n_lines for r in feeds.rejects(given, layout).collect()}
+    assert counts == {"header tag": 1, "empty line": 1, "field count": 1, "empty field": 1, "kept": 2}
+    assert feeds.parse_feed(given, layout).count() == counts["kept"]
+    by_line = {r.reason: r.n_lines for r in feeds.rejects(given, layout, header=feeds.FIRST_LINE).collect()}
+    assert by_line == {"empty line": 1, "field count": 1, "empty field": 1, "kept": 3}

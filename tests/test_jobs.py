@@ -101,7 +101,7 @@ def repo_reports(spark, tmp_path_factory):
 
 def report(spark, folder, name, *columns):
     df = sinks.read_report(spark, REPORT_TABLES[name], folder)
-    got = [tuple(float(v) if isinstance(v, Decimal) else v for v in r)
+    got = [tuple(round(float(v), 6) if isinstance(v, Decimal) else v for v in r)
            for r in df.select(*columns).collect()]
     return sorted(got, key=str)
 
@@ -126,11 +126,11 @@ def test_bond_info(spark, bond_reports):
 def test_turnover(spark, bond_reports):
     got = report(spark, bond_reports, "BOND_TURNOVER_RATE", "bond_id", "bond_prd", "bond_ctgry_nm2",
                  "day_turnover_rate", "trd_amnt_sum", "zy_rate")
-    # (0.9 * 300/400 * 1000 + 0.5 * 100/400 * 3000) / 4000
+    # (0.9 * 1000 + 0.5 * 3000) / 4000
     assert got == [
         ("B1", "一年以下(包括一年)", "国债", 0.0013, 1500.0, None),
         ("B1", "一年至三年(包括三年)", "国债", 0.0001, 200.0, None),
-        ("B1", "全部", "国债", 0.0014, 1700.0, 0.2625),
+        ("B1", "全部", "国债", 0.0014, 1700.0, 0.6),
         ("B2", "全部", "短期融资券(包含超短融)", 0.00014, 60.0, 0.0),
         ("B2", "十年以上", "短期融资券(包含超短融)", 0.00014, 60.0, None)]
 
@@ -270,7 +270,8 @@ def test_late_deals_are_upserted(spark, tmp_path):
     assert report(spark, out, "XBOND_INFO", "bond_cd") == [("CD1",), ("CD2",)]
 
 
-def test_staged_relations_follow_the_checkpoint_setting(spark, tmp_path):
+def test_staged_relations_follow_the_checkpoint_setting(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common.Run, "close", lambda run: None)
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
     before = set(shared.glob("run-*/deals"))
     bond_job.run(spark, write(tmp_path / "in", BOND_FEEDS), str(tmp_path / "out"))
@@ -283,3 +284,9 @@ def test_staged_relations_without_the_setting(spark, tmp_path, monkeypatch):
     run = common.Run(spark, str(tmp_path / "out"))
     assert run.stage(spark.range(3), "numbers").count() == 3
     assert len(list((tmp_path / "out" / "_stage").glob("run-*/numbers"))) == 1
+
+
+def test_stage_folder_is_removed(repo_reports, bond_reports):
+    for out in (repo_reports, bond_reports):
+        staged = Path(out) / "_stage"
+        assert not staged.exists() or not any(staged.iterdir())

@@ -6,13 +6,12 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
-from checks import bindings
+from checks import bindings, queries
 from ledgerloom import session
 from ledgerloom.operators import lookups, merging
 from ledgerloom.plans import repo
 
-QUERIES = entry_points.queries()
+QUERIES = queries.registered()
 
 
 @pytest.fixture

@@ -62,3 +62,20 @@ def test_contract(name):
 
 def test_twenty_three_tables():
     assert len(REPORT_TABLES) == 23
+
+
+def test_upsert_into_missing_table(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    sinks.upsert_report(trend(spark, (1, "A", "5"), (2, "B", "6")), TREND, folder, str(tmp_path / "work"))
+    assert stored(spark, folder) == [(1, "A", 5.0), (2, "B", 6.0)]
+
+
+def test_rebuild_drops_old_dates_in_any_session(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        sinks.write_report(trend(spark, (1, "A", "1"), (2, "A", "3")), TREND, folder)
+        sinks.write_report(trend(spark, (1, "A", "4")), TREND, folder)
+        assert stored(spark, folder) == [(1, "A", 4.0)]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
