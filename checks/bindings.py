@@ -105,8 +105,10 @@ def institutions(t: Tables) -> DataFrame:
     )
 
 
-def strategies(t: Tables) -> DataFrame:
-    return t.orders.where("o_orderkey % 10 <> 9").select(
+def strategies(t: Tables, missing: bool = True) -> DataFrame:
+    """Strategy of the orders; every tenth has none, so that lookups miss."""
+    orders = t.orders.where("o_orderkey % 10 <> 9") if missing else t.orders
+    return orders.select(
         F.col("o_orderkey").alias("deal_nmbr"),
         F.substring("o_orderpriority", 1, 1).alias("deal_strategy"))
 
@@ -147,9 +149,11 @@ def bond_deals(t: Tables) -> DataFrame:
     )
 
 
-def repo_members(t: Tables) -> DataFrame:
+def repo_members(t: Tables, missing: bool = True) -> DataFrame:
+    """Customers as members; every fiftieth is left out, so that lookups miss."""
     key = F.col("c_custkey")
-    return t.customer.where("c_custkey % 50 <> 49").select(
+    customers = t.customer.where("c_custkey % 50 <> 49") if missing else t.customer
+    return customers.select(
         key.alias("ip_id"), key.alias("unq_id"), key.alias("member_cd"),
         (key - key % 10).alias("rt_member_cd"),
         F.col("c_name").alias("full_nm"), F.col("c_mktsegment").alias("ins_show_name"),

@@ -420,7 +420,7 @@ _OPERATORS = {
     "filter_product_in": """
         SELECT ev_id, pd_cd, CAST(trade_amnt AS DOUBLE) AS trade_amnt FROM v_repo
         WHERE pd_cd = 'R001' OR pd_cd = 'R007' OR pd_cd = 'R014'""",
-    "filter_contains": "SELECT uniq AS unq_id, full_nm FROM v_member WHERE full_nm LIKE '%7%'",
+    "filter_contains": "SELECT c_custkey AS unq_id, c_name AS full_nm FROM customer WHERE c_name LIKE '%7%'",
     "filter_status": "SELECT ev_id, st FROM v_repo WHERE st <> 'P'",
     "filter_date_range": """
         SELECT deal_nmbr, deal_dt FROM v_trade
@@ -433,8 +433,9 @@ _OPERATORS = {
         SELECT deal_nmbr, org_nm, CAST(amount AS DOUBLE) AS amount FROM v_trade
         WHERE org_nm = '7' AND deal_dt BETWEEN DATE '1995-01-01' AND DATE '2000-12-31'""",
     "case_strategy": """
-        SELECT deal_nmbr, CASE WHEN deal_strategy IN ('0', '4') THEN '正常' ELSE '策略性交易' END AS strategy
-        FROM v_strategy""",
+        SELECT o_orderkey AS deal_nmbr, CASE WHEN substr(o_orderpriority, 1, 1) IN ('0', '4') THEN '正常'
+               ELSE '策略性交易' END AS strategy
+        FROM orders""",
     "case_bond_category": "SELECT bond_id, bond_ctgry_nm2 FROM v_bond",
     "case_bond_class": """
         SELECT bond_id, CASE WHEN bond_ctgry_nm IN ('国债', '政策性金融债') THEN '利率债'
@@ -499,7 +500,9 @@ _OPERATORS = {
         SELECT DISTINCT buyer_id AS ip_id, bond_id, deal_dt, coalesce(ins_show_name, 'None') AS ins_show_name
         FROM v_deal LEFT JOIN v_inst
           ON buyer_id = ip_id AND deal_dt > efctv_from_dt AND deal_dt < efctv_to_dt""",
-    "root_rollup": "SELECT root AS root_id, count(*) AS n_members FROM parties GROUP BY root",
+    "root_rollup": """
+        SELECT coalesce(CAST(r.c_custkey AS VARCHAR), 'None') AS root_id, count(*) AS n_members
+        FROM customer m LEFT JOIN customer r ON m.c_custkey - m.c_custkey % 10 = r.c_custkey GROUP BY 1""",
     "tag_expand_totals": "SELECT root_id, join_type, CAST(sum(trade_amnt) AS DOUBLE) AS amount, "
                          "count(*) AS n_deals FROM (" + " UNION ALL ".join(
         f"SELECT root AS root_id, '{group}' AS join_type, trade_amnt FROM v_repo "

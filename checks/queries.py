@@ -92,7 +92,7 @@ def filter_product_in(t):
 
 @query
 def filter_contains(t):
-    return b.repo_members(t).where(F.col("full_nm").contains("7")).select("unq_id", "full_nm")
+    return b.repo_members(t, missing=False).where(F.col("full_nm").contains("7")).select("unq_id", "full_nm")
 
 
 @query
@@ -119,7 +119,7 @@ def filter_one_org(t):
 
 @query
 def case_strategy(t):
-    return b.strategies(t).select(
+    return b.strategies(t, missing=False).select(
         "deal_nmbr", labels.strategy_label(F.col("deal_strategy")).alias("strategy"))
 
 
@@ -231,7 +231,7 @@ def valid_at_exclusive(t):
 
 @query
 def root_rollup(t):
-    members = b.repo_members(t)
+    members = b.repo_members(t, missing=False)
     text = members.withColumn("unq_id", F.col("unq_id").cast("string"))
     return with_root(text).groupBy("root_id").agg(F.count(F.lit(1)).alias("n_members"))
 

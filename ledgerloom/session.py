@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# What a driver can track. Beyond 4 TiB of shuffled input partitions grow above the target
+# size instead of in number; sorts and joins then spill, and AQE still splits join partitions.
 MAX_SHUFFLE_PARTITIONS = 32_768
 MAX_SCAN_TASKS = 200_000
 
-# Bytes of input files up to which a reference table is broadcast. Compressed files
-# unpack to several times their size; spark.sql.sources.fileCompressionFactor scales
-# the estimate where the files compress unusually well.
+# Input up to which a reference table is broadcast: bytes of files, and rows in them. Bytes alone
+# say little, for encoded or compressed files may hold hundreds of times more rows.
 BROADCAST_LIMIT = 16 * 1024 * 1024
+BROADCAST_ROWS = 2_000_000
 
 # A hot join key is split by AQE, also where that costs one more exchange.
 RUNTIME_SETTINGS = {
@@ -70,7 +72,33 @@ def broadcast_if_small(reference: DataFrame) -> DataFrame:
 
 
 def is_small(reference: DataFrame) -> bool:
-    return input_bytes(reference) <= BROADCAST_LIMIT
+    return input_bytes(reference) <= BROADCAST_LIMIT and input_rows(reference) <= BROADCAST_ROWS
+
+
+_ROWS: dict[tuple[str, ...], int] = {}
+
+
+def input_rows(df: DataFrame) -> int:
+    """Rows in the files that a frame is computed from; only asked for files of few bytes.
+
+    Parquet files are counted from their footers, text files by their lines. A file list is
+    counted once; tables that are rewritten have new files.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    total = 0
+    for i in range(leaves.length()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        kind = relation.fileFormat().toString().lower()
+        files = tuple(relation.location().inputFiles())
+        if files and (kind, *files) not in _ROWS:
+            reader = df.sparkSession.read
+            frame = reader.parquet(*files) if kind == "parquet" else reader.text(list(files))
+            _ROWS[(kind, *files)] = frame.count()
+        total += _ROWS.get((kind, *files), 0)
+    return total
 
 
 def shared_folder(spark: SparkSession, fallback: str) -> str:

@@ -68,6 +68,19 @@ def test_large_reference_data_is_not_broadcast(spark, sf_small, settings, monkey
     assert "Broadcast" not in without
 
 
+def test_small_file_of_many_rows_is_not_broadcast(spark, tmp_path, monkeypatch):
+    """Dictionary encoding packs rows into few bytes; the rows count."""
+    spark.range(300_000, numPartitions=1).select((F.col("id") % 5).alias("k")).write.parquet(str(tmp_path / "packed"))
+    packed = spark.read.parquet(str(tmp_path / "packed"))
+    assert session.input_bytes(packed) < 1_000_000 and session.input_rows(packed) == 300_000
+    assert session.is_small(packed)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 100_000)
+    assert not session.is_small(packed.groupBy("k").count())
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.csv").write_text("h\nx\ny\n")
+    assert session.input_rows(spark.read.text(str(tmp_path / "lines"))) == 3
+
+
 def test_deals_stay_distributed_by_deal(spark, sf_small, settings, monkeypatch):
     """Shuffle joins on the deal key share one exchange of the line items."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
