@@ -27,7 +27,9 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,7 @@ SEQUENCE = 2048
 BATCH_SEQUENCES = 128
 END_ID = 2
 # Text pieces that a worker remembers with their ids; beyond it starts afresh.
-REMEMBERED_PIECES = 1 << 19
+REMEMBERED_PIECES = 3 << 19
 
 MANIFEST = "part int, path string, n_docs long, n_tokens long, n_sequences long"
 ENCODED = "part int, doc_id long, ids binary"
@@ -53,6 +55,15 @@ _CUT = re.compile(r" (?=\S)(?<=\S )")
 
 # ------------------------------------------------------------------ encoding
 
+def cut(text: str) -> list[str]:
+    """Pieces of a text between such spaces."""
+    pieces = text.split(" ")
+    # the usual text: no piece is empty or has white space at its ends
+    if all(pieces) and list(map(str.strip, pieces)) == pieces:
+        return pieces
+    return _CUT.split(text)
+
+
 class Encoder:
     """Encodes texts piece by piece with a byte-level tokenizer; equal pieces once."""
 
@@ -62,35 +73,51 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(self.tokenizer.get_vocab_size())
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned integers."""
-        if len(self.known) > REMEMBERED_PIECES:
-            self.known.clear()
-        known, pieces = self.known, []
-        for text in texts:
-            first, *rest = _CUT.split(text or "")
-            pieces.append([first, *[" " + piece for piece in rest]])
-        new = list({piece for own in pieces for piece in own if piece not in known})
-        for start in range(0, len(new), 8192):
-            part = new[start:start + 8192]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[piece] = np.array(found.ids, dtype=self.dtype).tobytes()
-        return [b"".join(map(known.__getitem__, own)) for own in pieces]
+        self.code = self.dtype.char          # of Python's arrays
+        self.known: dict[str, bytes] = {}    # pieces behind a space, without it
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array(self.code, x.ids).tobytes() for x in found]
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text as unsigned integers of ``dtype``."""
+        known = self.known
+        cuts = [cut(text or "") for text in texts]
+        firsts = self._ids([pieces[0] for pieces in cuts])
+        for first, pieces in zip(firsts, cuts):
+            # text by text, so that the second look finds the pieces in the cache
+            if new := list(filterfalse(known.__contains__, pieces)):
+                if len(known) > REMEMBERED_PIECES:
+                    known.clear()
+                    new = list(set(pieces))
+                known.update(zip(new, self._ids([" " + piece for piece in new])))
+            ids = list(map(known.__getitem__, pieces))
+            ids[0] = first
+            yield b"".join(ids)
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this process: a worker's later tasks go on with the pieces it knows."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def id_type(vocabulary: int) -> np.dtype:
-    return np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
+    return np.dtype(np.uint16) if vocabulary <= 1 << 16 else np.dtype(np.uint32)
 
 
 def _encode(path: str, splits: np.ndarray, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        own = encoder(path)
         packer = zstandard.ZstdCompressor(level=1)
-        end = np.array([end_id], dtype=encoder.dtype).tobytes()
+        end = np.array([end_id], dtype=own.dtype).tobytes()
         for batch in batches:
-            ids = [packer.compress(x + end) for x in encoder.encode(batch.column("text").to_pylist())]
+            ids = [packer.compress(x + end) for x in own.encode(batch.column("text").to_pylist())]
             doc_id = batch.column("doc_id")
             numbers = doc_id.fill_null(np.iinfo(np.int64).max).to_numpy()
             parts = np.searchsorted(splits, numbers, "right").astype(np.int32)
@@ -213,7 +240,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int = END_ID,
     cuts = [i / number for i in range(1, number)]
     found = rows.agg(F.percentile_approx("doc_id", cuts, max(10_000, 20 * number)).alias("cuts")).first()[0] if cuts else []
     splits = np.unique(np.array(found or [], dtype=np.int64))
-    dtype = Encoder(tokenizer).dtype
+    dtype = encoder(tokenizer).dtype
     encoded = common.map_batches(rows, _encode(tokenizer, splits, end_id), ENCODED)
     placed = encoded.repartitionById(len(splits) + 1, F.col("part")).sortWithinPartitions(
         "part", F.col("doc_id").asc_nulls_last(), "ids")
