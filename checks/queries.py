@@ -531,21 +531,29 @@ def _pledged(deals, inputs):
     return repo.pledged_deals(deals)
 
 
-_LINES, _RATED, _COUNTED = repo.collateral_lines, {"rating": True}, {"line_count": True}
+def _pledged_legs(deals, inputs):
+    return repo.pledged_legs(repo.pledged_deals(deals))
+
+
+def _line_legs(deals, inputs):
+    return repo.line_legs(repo.collateral_lines(deals, inputs))
+
+
+_RATED, _COUNTED = {"rating": True}, {"line_count": True}
 
 _repo_report("m10_member_price", repo.member_price)
 _repo_report("m11_ctgry_price", repo.category_price)
 _repo_report("m12_global_price", repo.global_price, bank_flag=True)
-_repo_report("m13_member_bond_ctgry", repo.member_bond_class, _LINES)
-_repo_report("m14_ctgry_bond_ctgry", repo.category_bond_class, _LINES)
-_repo_report("m15_member_bond_rtng", repo.member_rating, _pledged, **_RATED, **_COUNTED)
-_repo_report("m16_ctgry_bond_rtng", repo.category_rating, _pledged, **_RATED, **_COUNTED)
-_repo_report("m17_member_bond_type", repo.member_bond_type, _LINES, **_RATED)
-_repo_report("m18_ctgry_bond_type", repo.category_bond_type, _LINES, **_RATED)
-_repo_report("m19_member_bond_issr", repo.member_issuer, _LINES)
-_repo_report("m20_ctgry_bond_issr", repo.category_issuer, _LINES)
-_repo_report("m21_member_ctgry_amount", repo.member_counterparty_amount, _pledged, **_COUNTED)
-_repo_report("m22_ctgry_ctgry_amount", repo.category_counterparty_amount, _pledged, **_COUNTED)
+_repo_report("m13_member_bond_ctgry", repo.member_bond_class, _line_legs)
+_repo_report("m14_ctgry_bond_ctgry", repo.category_bond_class, _line_legs)
+_repo_report("m15_member_bond_rtng", repo.member_rating, _pledged_legs, **_RATED, **_COUNTED)
+_repo_report("m16_ctgry_bond_rtng", repo.category_rating, _pledged_legs, **_RATED, **_COUNTED)
+_repo_report("m17_member_bond_type", repo.member_bond_type, _line_legs, **_RATED)
+_repo_report("m18_ctgry_bond_type", repo.category_bond_type, _line_legs, **_RATED)
+_repo_report("m19_member_bond_issr", repo.member_issuer, _line_legs)
+_repo_report("m20_ctgry_bond_issr", repo.category_issuer, _line_legs)
+_repo_report("m21_member_ctgry_amount", repo.member_counterparty_amount, _pledged_legs, **_COUNTED)
+_repo_report("m22_ctgry_ctgry_amount", repo.category_counterparty_amount, _pledged_legs, **_COUNTED)
 _repo_report("m23_member_ctgry_number", repo.member_counterparty_set, _pledged, **_COUNTED)
 
 

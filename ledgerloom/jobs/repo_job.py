@@ -20,10 +20,15 @@ def run(spark: SparkSession, feed_folder: str, output: str, upsert: bool = False
     inputs = this_run.stage_inputs(loaders.repo_inputs(spark, paths), "bonds", "members")
     deals = this_run.stage(
         repo.valid_deals(inputs, rating=True, bank_flag=True, line_count=True), "deals")
-    lines = this_run.stage(repo.collateral_lines(deals, inputs), "collateral_lines")
+    pledged = repo.pledged_deals(deals)
+    # the fan-out is read once and never stored: six reports regroup its sums
+    line_sums = this_run.stage(
+        repo.summed(repo.line_legs(repo.collateral_lines(deals, inputs))), "line_sums")
+    deal_sums = this_run.stage(repo.summed(repo.pledged_legs(pledged)), "deal_sums")
     this_run.write(repo.FROM_DEALS, deals, inputs)
-    this_run.write(repo.FROM_PLEDGED_DEALS, repo.pledged_deals(deals), inputs)
-    this_run.write(repo.FROM_COLLATERAL_LINES, lines, inputs)
+    this_run.write(repo.FROM_PLEDGED_DEALS, pledged, inputs)
+    this_run.write(repo.FROM_PLEDGED_LEGS, deal_sums, inputs)
+    this_run.write(repo.FROM_LINE_LEGS, line_sums, inputs)
     if counts:
         feeds = loaders.read_feeds(spark, paths, layouts.REPO_JOB_FEEDS)
         common.write_counts(feeds, counters.repo_misses(inputs), f"{this_run.output}/repo_job")

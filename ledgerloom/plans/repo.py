@@ -234,6 +234,10 @@ def global_price(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
     )
 
 
+_COUNTERPARTY_TYPE = "cou_party_ins_show_name"
+# Parts in which the other parties of a group are gathered.
+SET_PARTS = 64
+
 # ---------------------------------------------------------------- collateral reports
 
 def _member_amounts(legs: DataFrame, keys: list[str]) -> DataFrame:
@@ -244,38 +248,54 @@ def _category_amounts(legs: DataFrame, keys: list[str]) -> DataFrame:
     return _by_category(legs, keys, _amount())
 
 
-def member_bond_class(lines: DataFrame, inputs: RepoInputs) -> DataFrame:
+def line_legs(lines: DataFrame) -> DataFrame:
+    """Both legs of each collateral line, with all that the six line reports group by."""
+    lines = _weigh(lines, "cnvrsn_prprtn").withColumnRenamed("bond_class", "bond_ctgry_nm")
+    keep = ["bond_ctgry_nm", "rtng_desc", "issr_nm", "deal_dt", "trade_amnt", "weighted"]
+    return _sides(lines, [c for c in keep if c in lines.columns], ["root_id", "kind", "ins_show_name"])
+
+
+def pledged_legs(pledged: DataFrame) -> DataFrame:
+    """Both legs of each pledged deal, with the type of the other party."""
+    keep = [c for c in ("rtng_desc", "deal_dt", "trade_amnt") if c in pledged.columns]
+    legs = _sides(pledged, keep, ["root_id", "kind", "ins_show_name"], ["ins_show_name"])
+    return legs.withColumnRenamed("cp_ins_show_name", _COUNTERPARTY_TYPE)
+
+
+def summed(legs: DataFrame) -> DataFrame:
+    """Legs with equal attributes added up: the reports take these rows as well as single legs.
+
+    A job that writes several reports sums once and regroups the sums.
+    """
+    measures = [c for c in ("trade_amnt", "weighted") if c in legs.columns]
+    return legs.groupBy(*[c for c in legs.columns if c not in measures]).agg(
+        *[F.sum(c).alias(c) for c in measures])
+
+
+def member_bond_class(legs: DataFrame, inputs: RepoInputs) -> DataFrame:
     """MEMBER_BOND_CTGRY_DEAL_INFO: amount per collateral class."""
-    lines = lines.withColumnRenamed("bond_class", "bond_ctgry_nm")
-    legs = _sides(lines, ["bond_ctgry_nm", "deal_dt", "trade_amnt"], ["root_id", "kind"])
     return _member_amounts(legs, ["bond_ctgry_nm", "deal_dt"])
 
 
-def category_bond_class(lines: DataFrame, inputs: RepoInputs) -> DataFrame:
+def category_bond_class(legs: DataFrame, inputs: RepoInputs) -> DataFrame:
     """CTGRY_BOND_CTGRY_DEAL_INFO: amount per collateral class and institution type."""
-    lines = lines.withColumnRenamed("bond_class", "bond_ctgry_nm")
-    legs = _sides(lines, ["bond_ctgry_nm", "deal_dt", "trade_amnt"], ["ins_show_name"])
     return _category_amounts(legs, ["bond_ctgry_nm", "deal_dt"])
 
 
-def member_rating(pledged: DataFrame, inputs: RepoInputs) -> DataFrame:
+def member_rating(legs: DataFrame, inputs: RepoInputs) -> DataFrame:
     """MEMBER_BOND_RTNG_DEAL_INFO: amount per rating."""
-    legs = _sides(pledged, ["rtng_desc", "deal_dt", "trade_amnt"], ["root_id", "kind"])
     return _member_amounts(legs, ["rtng_desc", "deal_dt"])
 
 
-def category_rating(pledged: DataFrame, inputs: RepoInputs) -> DataFrame:
+def category_rating(legs: DataFrame, inputs: RepoInputs) -> DataFrame:
     """CTGRY_BOND_RTNG_DEAL_INFO: amount per rating and institution type."""
-    legs = _sides(pledged, ["rtng_desc", "deal_dt", "trade_amnt"], ["ins_show_name"])
     return _category_amounts(legs, ["rtng_desc", "deal_dt"])
 
 
 _CONVERSION = "weighted_cnvrsn_prprtn"
 
 
-def _member_conversion(lines: DataFrame, keys: list[str]) -> DataFrame:
-    lines = _weigh(lines, "cnvrsn_prprtn")
-    legs = _sides(lines, [*keys, "trade_amnt", "weighted"], ["root_id", "kind"])
+def _member_conversion(legs: DataFrame, keys: list[str]) -> DataFrame:
     return _by_member(legs, keys, _weighted()).select(
         "unq_id_in_src_sys", "join_type", *keys,
         _average(REPO, _CONVERSION), "repo_sum_amount",
@@ -283,52 +303,41 @@ def _member_conversion(lines: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _category_conversion(lines: DataFrame, keys: list[str]) -> DataFrame:
-    lines = _weigh(lines, "cnvrsn_prprtn")
-    legs = _sides(lines, [*keys, "trade_amnt", "weighted"], ["ins_show_name"])
+def _category_conversion(legs: DataFrame, keys: list[str]) -> DataFrame:
     return _by_category(legs, keys, _weighted()).select(
         "ins_show_name", *keys, _average(REPO, _CONVERSION), _average(REVERSE, _CONVERSION)
     )
 
 
-def member_bond_type(lines: DataFrame, inputs: RepoInputs) -> DataFrame:
+def member_bond_type(legs: DataFrame, inputs: RepoInputs) -> DataFrame:
     """MEMBER_BOND_TYPE_DEAL_INFO: conversion ratio and amount per class and rating."""
-    lines = lines.withColumnRenamed("bond_class", "bond_ctgry_nm")
-    return _member_conversion(lines, ["bond_ctgry_nm", "rtng_desc", "deal_dt"])
+    return _member_conversion(legs, ["bond_ctgry_nm", "rtng_desc", "deal_dt"])
 
 
-def category_bond_type(lines: DataFrame, inputs: RepoInputs) -> DataFrame:
+def category_bond_type(legs: DataFrame, inputs: RepoInputs) -> DataFrame:
     """CTGRY_BOND_TYPE_DEAL_INFO: conversion ratio per class, rating and institution type."""
-    lines = lines.withColumnRenamed("bond_class", "bond_ctgry_nm")
-    return _category_conversion(lines, ["bond_ctgry_nm", "rtng_desc", "deal_dt"])
+    return _category_conversion(legs, ["bond_ctgry_nm", "rtng_desc", "deal_dt"])
 
 
-def member_issuer(lines: DataFrame, inputs: RepoInputs) -> DataFrame:
+def member_issuer(legs: DataFrame, inputs: RepoInputs) -> DataFrame:
     """MEMBER_BOND_ISSR_DEAL_INFO: conversion ratio and amount per issuer."""
-    return _member_conversion(lines, ["issr_nm", "deal_dt"])
+    return _member_conversion(legs, ["issr_nm", "deal_dt"])
 
 
-def category_issuer(lines: DataFrame, inputs: RepoInputs) -> DataFrame:
+def category_issuer(legs: DataFrame, inputs: RepoInputs) -> DataFrame:
     """CTGRY_BOND_ISSR_DEAL_INFO: conversion ratio per issuer and institution type."""
-    return _category_conversion(lines, ["issr_nm", "deal_dt"])
+    return _category_conversion(legs, ["issr_nm", "deal_dt"])
 
 
 # ---------------------------------------------------------------- counterparty reports
 
-_COUNTERPARTY_TYPE = "cou_party_ins_show_name"
-
-
-def member_counterparty_amount(pledged: DataFrame, inputs: RepoInputs) -> DataFrame:
+def member_counterparty_amount(legs: DataFrame, inputs: RepoInputs) -> DataFrame:
     """MEMBER_CTGRY_AMOUNT_DEAL_INFO: amount per type of the other party."""
-    legs = _sides(pledged, ["deal_dt", "trade_amnt"], ["root_id", "kind"], ["ins_show_name"])
-    legs = legs.withColumnRenamed("cp_ins_show_name", _COUNTERPARTY_TYPE)
     return _member_amounts(legs, [_COUNTERPARTY_TYPE, "deal_dt"])
 
 
-def category_counterparty_amount(pledged: DataFrame, inputs: RepoInputs) -> DataFrame:
+def category_counterparty_amount(legs: DataFrame, inputs: RepoInputs) -> DataFrame:
     """CTGRY_CTGRY_AMOUNT_DEAL_INFO: amount per own type and type of the other party."""
-    legs = _sides(pledged, ["deal_dt", "trade_amnt"], ["ins_show_name"], ["ins_show_name"])
-    legs = legs.withColumnRenamed("cp_ins_show_name", _COUNTERPARTY_TYPE)
     return _category_amounts(legs, [_COUNTERPARTY_TYPE, "deal_dt"])
 
 
@@ -336,20 +345,25 @@ def member_counterparty_set(pledged: DataFrame, inputs: RepoInputs) -> DataFrame
     """MEMBER_CTGRY_NUMBER_DEAL_INFO: the other parties of a day, as sorted text.
 
     Pairs are made distinct before they meet in a group, so a group holds each
-    member at most once per side and kind.
+    member at most once per side and kind. Members without a root share one group; so sets
+    are gathered by a hash of the other party first, and only the reported cell sees them all.
     """
     legs = _sides(pledged, ["deal_dt"], ["root_id", "kind"], ["unq_id", "ins_show_name"])
     pairs = legs.withColumnRenamed("cp_ins_show_name", _COUNTERPARTY_TYPE).distinct()
+    keys = [*MEMBER_KEYS, _COUNTERPARTY_TYPE, "deal_dt"]
+
+    def part(side):
+        return F.collect_set(F.when(F.col("side") == side, F.col("cp_unq_id"))).alias(side)
 
-    def parties(side):
-        found = F.collect_set(F.when(F.col("side") == side, F.col("cp_unq_id")))
+    def whole(side):
+        found = F.flatten(F.collect_list(side))
         text = F.when(F.size(found) > 0, F.array_join(F.sort_array(found), ","))
         return text.alias(f"{side}_cou_party_uniq_set")
 
+    parts = expansion.expand_join_types(pairs).groupBy(
+        *keys, F.pmod(F.xxhash64("cp_unq_id"), F.lit(SET_PARTS)).alias("part")).agg(part(REPO), part(REVERSE))
+    sets = parts.groupBy(*keys).agg(whole(REPO), whole(REVERSE))
     keys = [_COUNTERPARTY_TYPE, "deal_dt"]
-    sets = expansion.expand_join_types(pairs).groupBy(*MEMBER_KEYS, *keys).agg(
-        parties(REPO), parties(REVERSE)
-    )
     names = one_per_key(
         inputs.members.select(F.col("unq_id").cast("string").alias("root_id"), "ins_show_name"),
         "root_id")
@@ -364,14 +378,17 @@ FROM_DEALS = {
     "CTGRY_PRICE_DEAL_INFO": category_price,
     "GLOBAL_PRICE_DEAL_INFO": global_price,
 }
-FROM_PLEDGED_DEALS = {
+# From the legs of pledged deals and of collateral lines, or from their sums.
+FROM_PLEDGED_LEGS = {
     "MEMBER_BOND_RTNG_DEAL_INFO": member_rating,
     "CTGRY_BOND_RTNG_DEAL_INFO": category_rating,
     "MEMBER_CTGRY_AMOUNT_DEAL_INFO": member_counterparty_amount,
     "CTGRY_CTGRY_AMOUNT_DEAL_INFO": category_counterparty_amount,
+}
+FROM_PLEDGED_DEALS = {
     "MEMBER_CTGRY_NUMBER_DEAL_INFO": member_counterparty_set,
 }
-FROM_COLLATERAL_LINES = {
+FROM_LINE_LEGS = {
     "MEMBER_BOND_CTGRY_DEAL_INFO": member_bond_class,
     "CTGRY_BOND_CTGRY_DEAL_INFO": category_bond_class,
     "MEMBER_BOND_TYPE_DEAL_INFO": member_bond_type,

@@ -290,3 +290,11 @@ def test_stage_folder_is_removed(repo_reports, bond_reports):
     for out in (repo_reports, bond_reports):
         staged = Path(out) / "_stage"
         assert not staged.exists() or not any(staged.iterdir())
+
+
+def test_fan_out_is_not_stored(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda spark, fallback: fallback)
+    monkeypatch.setattr(common.Run, "close", lambda run: None)
+    repo_job.run(spark, write(tmp_path / "in", REPO_FEEDS), str(tmp_path / "out"))
+    staged = {p.name for p in (tmp_path / "out" / "_stage").glob("run-*/*")}
+    assert staged == {"deals", "line_sums", "deal_sums", "inputs"}

@@ -71,8 +71,8 @@ def test_income_total_equals_deals(spark, sf_small):
 def test_line_count_equals_fan_out(spark, sf_small):
     inputs = bindings.repo_inputs(bindings.Tables(spark, sf_small))
     deals = repo.valid_deals(inputs, rating=True, line_count=True)
-    short = repo.category_rating(repo.pledged_deals(deals), inputs).collect()
-    long = repo.category_rating(repo.collateral_lines(deals, inputs), inputs).collect()
+    short = repo.category_rating(repo.pledged_legs(repo.pledged_deals(deals)), inputs).collect()
+    long = repo.category_rating(repo.summed(repo.line_legs(repo.collateral_lines(deals, inputs))), inputs).collect()
     key = lambda r: (r.ins_show_name, r.rtng_desc, r.deal_dt)
     assert sorted(map(tuple, short), key=str) == sorted(map(tuple, long), key=str)
     assert len({key(r) for r in short}) == len(short) > 0

@@ -174,7 +174,8 @@ def test_hot_member_is_split(spark, shuffle_joins, tmp_path):
 
     got = {r.ins_show_name: (r.repo_sum_amount, r.rvrse_sum_amount)
            for r in repo.category_rating(
-               repo.with_valid_parties(inputs.deals.withColumn("rtng_desc", F.lit("AAA")), inputs),
+               repo.pledged_legs(repo.with_valid_parties(
+                   inputs.deals.withColumn("rtng_desc", F.lit("AAA")), inputs)),
                inputs).collect()}
     want = defaultdict(lambda: [0, 0])
     for i in range(n):
