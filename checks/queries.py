@@ -11,11 +11,11 @@ from pyspark.sql.types import DecimalType
 from checks import bindings as b
 from checks.bindings import Tables
 from ledgerloom.functions import labels
-from ledgerloom.functions.measures import ratio, weighted_average
-from ledgerloom.functions.text import parse_date
+from ledgerloom.functions.measures import extremes, ratio, weighted_average
+from ledgerloom.functions.text import parse_date, set_text
 from ledgerloom.operators import expansion, merging, quality
 from ledgerloom.operators.lookups import (
-    drop_listed, keep_listed, one_per_key, valid_attribute, with_root,
+    drop_listed, enrich, keep_listed, one_per_key, valid_attribute, with_root,
 )
 from ledgerloom.plans import bond, counters, market, repo, words
 from ledgerloom.plans.market import MarketQuery
@@ -92,12 +92,12 @@ def filter_product_in(t):
 
 @query
 def filter_contains(t):
-    return b.repo_members(t, missing=False).where(F.col("full_nm").contains("7")).select("unq_id", "full_nm")
+    return b.repo_members(t, missing=False).where(repo.is_money_fund("7")).select("unq_id", "full_nm")
 
 
 @query
 def filter_status(t):
-    return b.repo_deals(t).where(F.col("st") != "P").select("ev_id", "st")
+    return repo.not_withdrawn(b.repo_deals(t), "P").select("ev_id", "st")
 
 
 @query
@@ -161,7 +161,7 @@ def lookup_default(t):
 @query
 def lookup_inner(t):
     buyers = b.institutions(t).select(F.col("ip_id").alias("buyer_id"), "ins_show_name")
-    return b.bond_deals(t).join(buyers, "buyer_id").select(
+    return enrich(b.bond_deals(t), buyers, "buyer_id", "ins_show_name").select(
         "bond_deal_id", "buyer_id", "bond_id", "ins_show_name", "dirty_amnt")
 
 
@@ -322,14 +322,13 @@ def wavg_conditional(t):
 
 @query
 def minmax_rate(t):
-    return b.repo_deals(t).groupBy("pd_cd", "deal_dt").agg(
-        F.max("deal_repo_rate").alias("max_rate"), F.min("deal_repo_rate").alias("min_rate"))
+    return b.repo_deals(t).groupBy("pd_cd", "deal_dt").agg(*extremes(F.col("deal_repo_rate"), "", "_rate"))
 
 
 @query
 def distinct_deals(t):
     return b.bond_deals(t).groupBy("bond_id", "deal_dt").agg(
-        F.count_distinct("bond_deal_id").alias("deal_cnt"), F.count(F.lit(1)).alias("n_rows"))
+        bond.deal_count(), F.count(F.lit(1)).alias("n_rows"))
 
 
 @query
@@ -349,7 +348,7 @@ def any_attr(t):
 def counterparty_set(t):
     deals = b.repo_deals(t).select("repo_pty_id", F.col("rvrse_repo_pty_id").cast("string").alias("p"))
     return deals.distinct().groupBy("repo_pty_id").agg(
-        F.array_join(F.sort_array(F.collect_set("p")), ",").alias("parties"))
+        set_text(F.collect_set("p")).alias("parties"))
 
 
 @query

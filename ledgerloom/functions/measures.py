@@ -32,6 +32,11 @@ def sum_if(condition: Column | None, value: Column) -> Column:
     return F.sum(value if condition is None else F.when(condition, value))
 
 
+def extremes(value: Column, before: str, behind: str) -> list[Column]:
+    """Greatest and least value, as <before>max<behind> and <before>min<behind>."""
+    return [F.max(value).alias(f"{before}max{behind}"), F.min(value).alias(f"{before}min{behind}")]
+
+
 def weighted_average(value: Column, weight: Column, condition: Column | None = None) -> Column:
     """sum(value * weight) / sum(weight), over the rows that meet the condition."""
     return ratio(sum_if(condition, value * weight), sum_if(condition, weight))

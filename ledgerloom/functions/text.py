@@ -35,5 +35,10 @@ def parse_decimal(text: Column, precision: int, scale: int) -> Column:
     return text.try_cast(f"decimal({precision},{scale})")
 
 
+def set_text(members: Column) -> Column:
+    """Members of an array in order, comma-joined; null for an empty one."""
+    return F.when(F.size(members) > 0, F.array_join(F.sort_array(members), ","))
+
+
 def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))

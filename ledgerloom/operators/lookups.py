@@ -39,6 +39,11 @@ def lookup(df: DataFrame, dimension: DataFrame, on: str | list[str],
     )
 
 
+def enrich(df: DataFrame, dimension: DataFrame, key: str, *attributes: str) -> DataFrame:
+    """Inner join on ``key``: rows without an entry go, the others get the attributes."""
+    return df.join(broadcast_if_small(dimension.select(key, *attributes)), key)
+
+
 def keep_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str | None = None) -> DataFrame:
     """Rows whose key occurs in the list, which may hold duplicates."""
     return _by_presence(df, listed, key, listed_key, "left_semi")

@@ -13,7 +13,7 @@ from ledgerloom.functions import labels
 from ledgerloom.functions.measures import ratio, sum_if, weighted_average
 from ledgerloom.operators import expansion
 from ledgerloom.operators.lookups import (
-    drop_listed, keep_listed, lookup, one_per_key, valid_attribute,
+    drop_listed, enrich, keep_listed, lookup, one_per_key, valid_attribute,
 )
 from ledgerloom.plans.inputs import BondInputs
 from ledgerloom.session import broadcast_if_small
@@ -71,6 +71,11 @@ def enriched_deals(inputs: BondInputs) -> DataFrame:
     return deals
 
 
+def deal_count() -> Column:
+    """Deals, each counted once however many rows it has."""
+    return F.count_distinct("bond_deal_id").alias("deal_cnt")
+
+
 def tenor() -> Column:
     return labels.tenor_bucket(F.col("yr_of_time_to_mrty"))
 
@@ -147,7 +152,7 @@ def _or_zero(measure: Column) -> Column:
 
 
 def _with_bond(report: DataFrame, inputs: BondInputs, *attributes: str) -> DataFrame:
-    return report.join(broadcast_if_small(inputs.bonds.select("bond_id", *attributes)), "bond_id")
+    return enrich(report, inputs.bonds, "bond_id", *attributes)
 
 
 def _with_show_name(report: DataFrame, inputs: BondInputs) -> DataFrame:
@@ -174,7 +179,7 @@ def bond_bsc_info(deals: DataFrame, inputs: BondInputs) -> DataFrame:
     daily = deals.groupBy("deal_dt", "bond_id").agg(
         F.sum("dirty_amnt").alias("trd_amnt"),
         F.sum("face_amnt").alias("face_sum"),
-        F.count_distinct("bond_deal_id").alias("deal_cnt"),
+        deal_count(),
         F.min("yr_of_time_to_mrty").alias("yr_of_time_to_mrty"),
     )
     bonds = bond_attributes(inputs).where(

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions import labels
 from ledgerloom.functions.measures import (
-    quotient, ratio, rounded, sum_if, weighted_average,
+    extremes, quotient, ratio, rounded, sum_if, weighted_average,
 )
+from ledgerloom.functions.text import set_text
 from ledgerloom.operators import expansion
 from ledgerloom.operators.lookups import (
     flag_listed, keep_listed, lookup, one_per_key, with_root, within,
@@ -28,10 +29,14 @@ MEMBER_KEYS = ["root_id", "join_type"]
 
 # ---------------------------------------------------------------- base relations
 
+def not_withdrawn(deals: DataFrame, withdrawn: str) -> DataFrame:
+    """Status codes compare as text."""
+    return deals.where(F.col("st") != withdrawn)
+
+
 def confirmed_deals(inputs: RepoInputs) -> DataFrame:
     """Deals that are not withdrawn and are on the list of confirmed deals."""
-    deals = inputs.deals.where(F.col("st") != inputs.withdrawn)
-    return keep_listed(deals, inputs.confirmed, "ev_id")
+    return keep_listed(not_withdrawn(inputs.deals, inputs.withdrawn), inputs.confirmed, "ev_id")
 
 
 def with_bank_flag(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
@@ -48,13 +53,18 @@ def with_line_count(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
     return lookup(deals, lines, "ev_id", {"n_lines": 0})
 
 
+def is_money_fund(marker: str) -> Column:
+    """Does the member's full name hold the marker of money market funds?"""
+    return F.col("full_nm").contains(marker)
+
+
 def member_profiles(inputs: RepoInputs) -> DataFrame:
     """Members with their root, their kind under it and their validity interval.
 
     Identifiers are text, since a member without a known root gets the miss marker.
     """
     members = inputs.members.withColumn("unq_id", F.col("unq_id").cast("string"))
-    is_fund = F.col("full_nm").contains(inputs.fund_marker)
+    is_fund = is_money_fund(inputs.fund_marker)
     return with_root(members, default=labels.MISSING).select(
         "ip_id", "unq_id", "root_id", "ins_show_name", "efctv_from_dt", "efctv_to_dt",
         expansion.member_kind(F.col("unq_id"), F.col("root_id"), is_fund).alias("kind"),
@@ -229,8 +239,7 @@ def global_price(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
         F.max(F.when(bank, rate)).alias("banks_max_deal_repo_rate"),
         F.min(F.when(bank, rate)).alias("banks_min_deal_repo_rate"),
         weighted_average(rate, amount).alias("market_weighted_price"),
-        F.max(rate).alias("market_max_deal_repo_rate"),
-        F.min(rate).alias("market_min_deal_repo_rate"),
+        *extremes(rate, "market_", "_deal_repo_rate"),
     )
 
 
@@ -356,9 +365,7 @@ def member_counterparty_set(pledged: DataFrame, inputs: RepoInputs) -> DataFrame
         return F.collect_set(F.when(F.col("side") == side, F.col("cp_unq_id"))).alias(side)
 
     def whole(side):
-        found = F.flatten(F.collect_list(side))
-        text = F.when(F.size(found) > 0, F.array_join(F.sort_array(found), ","))
-        return text.alias(f"{side}_cou_party_uniq_set")
+        return set_text(F.flatten(F.collect_list(side))).alias(f"{side}_cou_party_uniq_set")
 
     parts = expansion.expand_join_types(pairs).groupBy(
         *keys, F.pmod(F.xxhash64("cp_unq_id"), F.lit(SET_PARTS)).alias("part")).agg(part(REPO), part(REVERSE))
