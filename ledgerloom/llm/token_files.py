@@ -29,7 +29,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import filterfalse
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -64,36 +64,83 @@ def cut(text: str) -> list[str]:
     return _CUT.split(text)
 
 
+def byte_characters() -> dict[int, str]:
+    """The characters that byte-level BPE writes bytes as: printable ones as themselves."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_CHARACTERS = byte_characters()
+# Punctuation that is a token of its own between a word and the end of a piece.
+_STOPS = frozenset(".,;:!?)")
+
+
 class Encoder:
-    """Encodes texts piece by piece with a byte-level tokenizer; equal pieces once."""
+    """Encodes texts piece by piece with a byte-level tokenizer; equal pieces once.
+
+    Pieces of letters are a single pre-token and go straight to the tokenizer's BPE model;
+    a stop behind letters, and a line end inside a piece, are tokens of their own. Whatever
+    else a piece holds, the whole tokenizer encodes.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.code = self.dtype.char          # of Python's arrays
         self.known: dict[str, bytes] = {}    # pieces behind a space, without it
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(self.code, x.ids).tobytes() for x in found]
+        self.bare: dict[str, bytes] = {}     # pieces behind a line end or nothing
+        self.line_end = self._whole("\n")
+        self.stops = {stop: self._whole(stop) for stop in _STOPS}
+
+    def _whole(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, letters: str, space: bool) -> bytes:
+        """Ids of a run of letters, with a space before it or not."""
+        known = self.known if space else self.bare
+        if (ids := known.get(letters)) is None:
+            shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_CHARACTERS)
+            if space:
+                shown = _CHARACTERS[32] + shown
+            ids = known[letters] = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return ids
+
+    def _piece(self, piece: str, space: bool) -> bytes:
+        """Ids of a piece that is not known, or of a line of it."""
+        if piece.isalpha():
+            return self._word(piece, space)
+        if piece[-1:] in _STOPS and piece[:-1].isalpha():
+            return self._word(piece[:-1], space) + self.stops[piece[-1]]
+        first, *lines = piece.split("\n")
+        if lines and first and all(lines) and not any(c.isspace() for c in "".join(lines) + first):
+            parts = [self._piece(first, space)]
+            for line in lines:
+                parts += [self.line_end, self._piece(line, False)]
+            return b"".join(parts)
+        return self._whole(" " + piece if space else piece)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as unsigned integers of ``dtype``."""
         known = self.known
-        cuts = [cut(text or "") for text in texts]
-        firsts = self._ids([pieces[0] for pieces in cuts])
-        for first, pieces in zip(firsts, cuts):
-            # text by text, so that the second look finds the pieces in the cache
-            if new := list(filterfalse(known.__contains__, pieces)):
-                if len(known) > REMEMBERED_PIECES:
-                    known.clear()
-                    new = list(set(pieces))
-                known.update(zip(new, self._ids([" " + piece for piece in new])))
-            ids = list(map(known.__getitem__, pieces))
-            ids[0] = first
+        for text in texts:
+            if len(known) > REMEMBERED_PIECES:
+                known.clear()
+                self.bare.clear()
+            pieces = cut(text or "")
+            ids = list(map(known.get, pieces, repeat(b"")))
+            at = -1
+            for _ in range(ids.count(b"")):
+                at = ids.index(b"", at + 1)
+                piece = pieces[at]
+                if piece not in known:
+                    known[piece] = self._piece(piece, True)
+                ids[at] = known[piece]
+            ids[0] = self._piece(pieces[0], False)
             yield b"".join(ids)
 
 
