@@ -181,16 +181,17 @@ def plan(rows: DataFrame, cycle: tuple[int, ...] = CYCLE, weights: DataFrame | N
     return F.broadcast(planned) if few else planned
 
 
-def times(rows: DataFrame, planned: DataFrame) -> DataFrame:
+def times(rows: DataFrame, planned: DataFrame, most: int = MOST_EPOCHS) -> DataFrame:
     """``rows`` (source, _size, _key and others) with ``_times``, how often each is taken.
 
-    Adds source_size and target of the plan.
+    Adds source_size and target of the plan. Documents without words fit any budget; they too
+    are taken ``most`` times at most.
     """
     side = planned.select(F.col("source").alias("_source"), "source_size", "target", "epochs", "limits")
     drawn = F.exists("limits", lambda x: (F.col("_key") > x["floor"]) & (F.col("_key") < x["cut"])
                      & (F.col("_size") <= x["most"]))
     return rows.join(side, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
-        "_times", F.col("epochs") + drawn.cast("long")).drop("_source", "epochs", "limits")
+        "_times", F.least(F.col("epochs") + drawn.cast("long"), F.lit(most))).drop("_source", "epochs", "limits")
 
 
 def report(docs: DataFrame) -> DataFrame:
