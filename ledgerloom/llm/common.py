@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -18,6 +20,9 @@ WORD_PATTERN = f"[^{SPACES}]+"
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 * 1024 * 1024
 
+# Bits of the bitmap that thins a table before a join: 512 KB, whatever the table's size.
+BITMAP_BITS = 1 << 22
+
 _UPPER = bytes(range(65, 91))
 LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 
@@ -60,6 +65,36 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def thinned(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose id may be in ``ids``: all that are, and some others.
+
+    Drops most other rows before a join, which must follow.
+    """
+    return df.where(may_be_listed(df, column, ids))
+
+
+def may_be_listed(df: DataFrame, column: str, ids: DataFrame) -> Column:
+    """False only for ids of ``df`` that are surely not in ``ids`` (one column).
+
+    A bitmap of hashed ids, of fixed size, is broadcast. With more ids than it has bits, it is
+    true for all.
+    """
+    slots = F.pmod(F.xxhash64(ids.columns[0]), F.lit(BITMAP_BITS)).cast("long")
+    words = ids.select(slots.alias("slot")).groupBy(F.floor(F.col("slot") / 64).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(64)).cast("int"))).alias("bits"))
+    table = words.toArrow()
+    bitmap = np.zeros(BITMAP_BITS // 64, dtype=np.int64)
+    bitmap[np.asarray(table.column("word"))] = np.asarray(table.column("bits"))
+    handle = df.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf(T.BooleanType())
+    def listed(slot: pd.Series) -> pd.Series:
+        at = slot.to_numpy()
+        return pd.Series((handle.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return listed(F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)).cast("long"))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -226,6 +226,8 @@ def _stars(marked: DataFrame, percent: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    pairs = common.staged(pairs, "pairs")
+    texts = common.thinned(texts, "node", pairs.select(F.explode(F.array("a", "b")).alias("node")))
     one = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = one.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     return common.map_batches(both.select("a", "b", "text_a", "text_b"), _confirm(size, percent), "a long, b long")
@@ -302,7 +304,8 @@ def _meet(percent: int):
 
 def _family_links(large: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     placed = common.staged(_blocks(large), "blocks")
-    own = texts.join(placed.select("node").distinct(), "node", "left_semi")
+    listed = placed.select("node").distinct()
+    own = common.thinned(texts, "node", listed).join(listed, "node", "left_semi")
     sets = common.map_batches(own.select("node", "text"), _sets(size), "node long, shingles binary")
     met = placed.join(sets, "node").groupBy("family", "fringe_block", "member_block").applyInArrow(
         _meet(percent), "a long, b long")
@@ -325,7 +328,8 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, percent: int = THRE
     members = common.staged(_bucket_members(signed, classes), "buckets")
     in_buckets = members.select(F.col("node").alias("doc_id")).distinct()
     held = common.staged(
-        texts.join(in_buckets, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "texts")
+        common.thinned(texts, "doc_id", in_buckets).join(in_buckets, "doc_id", "left_semi")
+        .select(F.col("doc_id").alias("node"), "text"), "texts")
 
     marked = common.staged(_centres(members.withColumn("root", F.col("node")), 1), "centres")
     roots = components(repeated.unionByName(_confirmed(_stars(marked, percent), held, shingle, percent)))
@@ -365,6 +369,12 @@ def deduplicated(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, percent: int
     rated = common.staged(groups(docs, shingle=shingle, percent=percent, bins=bins, bands=bands), "groups")
     by_id = rated.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.bool_and("kept").alias("stays"), F.count("*").alias("rows"))
-    stays = docs.join(by_id.where("not stays or rows > 1").select("doc_id"), "doc_id", "left_anti")
-    again = docs.join(by_id.where("stays and rows > 1").select("doc_id"), "doc_id", "left_semi")
-    return stays.select(docs.columns).unionByName(again.select(docs.columns).dropDuplicates(["doc_id"]))
+    doubtful = common.staged(by_id.where("not stays or rows > 1"), "doubtful")
+    # a text whose id is surely not among them needs no join, and so no shuffle
+    maybe = common.may_be_listed(docs, "doc_id", doubtful.select("doc_id"))
+    clear = docs.where(~maybe)
+    rest = docs.where(maybe)
+    stays = rest.join(doubtful.select("doc_id"), "doc_id", "left_anti")
+    again = rest.join(doubtful.where("stays").select("doc_id"), "doc_id", "left_semi")
+    return clear.unionByName(stays.select(docs.columns)).unionByName(
+        again.select(docs.columns).dropDuplicates(["doc_id"]))
