@@ -39,8 +39,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files in ascending doc_id order, read back: doc_id, start, n_tokens, ids_crc32."""
-    return token_files.report(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Token files in ascending doc_id order, read back: doc_id, start, n_tokens, ids_crc32.
+
+    Workers that ran the other stages hold memory, so few pieces are remembered.
+    """
+    return token_files.report(docs, public_tokenizers.path("byte_bpe_50k.json"), remembered=1 << 17)
 
 
 STAGES = [

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 # Word hashes that a worker remembers; beyond it starts afresh.
-REMEMBERED_WORDS = 1 << 20
+REMEMBERED_WORDS = 1 << 18
 
 
 class WordHashes(dict):

@@ -84,12 +84,12 @@ class Encoder:
     else a piece holds, the whole tokenizer encodes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.model, self.remembered = self.tokenizer.model, remembered
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.code = self.dtype.char          # of Python's arrays
         self.known: dict[str, bytes] = {}    # pieces behind a space, without it
@@ -128,7 +128,7 @@ class Encoder:
         """Ids of each text as unsigned integers of ``dtype``."""
         known = self.known
         for text in texts:
-            if len(known) > REMEMBERED_PIECES:
+            if len(known) > self.remembered:
                 known.clear()
                 self.bare.clear()
             pieces = cut(text or "")
@@ -144,23 +144,23 @@ class Encoder:
             yield b"".join(ids)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED_PIECES) -> Encoder:
     """The encoder of this process: a worker's later tasks go on with the pieces it knows."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, remembered) not in _ENCODERS:
+        _ENCODERS[path, remembered] = Encoder(path, remembered)
+    return _ENCODERS[path, remembered]
 
 
 def id_type(vocabulary: int) -> np.dtype:
     return np.dtype(np.uint16) if vocabulary <= 1 << 16 else np.dtype(np.uint32)
 
 
-def _encode(path: str, splits: np.ndarray, end_id: int):
+def _encode(path: str, splits: np.ndarray, end_id: int, remembered: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = encoder(path, remembered)
         packer = zstandard.ZstdCompressor(level=1)
         end = np.array([end_id], dtype=own.dtype).tobytes()
         for batch in batches:
@@ -271,9 +271,12 @@ def _write(folder: str, dtype: np.dtype, sequence: int):
     return run
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int = END_ID, sequence: int = SEQUENCE) -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int = END_ID, sequence: int = SEQUENCE,
+          remembered: int = REMEMBERED_PIECES) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into files below ``folder``; returns the manifest.
 
+    ``remembered`` bounds the pieces that a worker keeps, at some 200 bytes each.
+
     One manifest row for each file: part, path, n_docs, n_tokens, n_sequences and ``start``, the
     number of ids in the files before it.
     """
@@ -287,8 +290,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int = END_ID,
     cuts = [i / number for i in range(1, number)]
     found = rows.agg(F.percentile_approx("doc_id", cuts, max(10_000, 20 * number)).alias("cuts")).first()[0] if cuts else []
     splits = np.unique(np.array(found or [], dtype=np.int64))
-    dtype = encoder(tokenizer).dtype
-    encoded = common.map_batches(rows, _encode(tokenizer, splits, end_id), ENCODED)
+    dtype = encoder(tokenizer, remembered).dtype
+    encoded = common.map_batches(rows, _encode(tokenizer, splits, end_id, remembered), ENCODED)
     placed = encoded.repartitionById(len(splits) + 1, F.col("part")).sortWithinPartitions(
         "part", F.col("doc_id").asc_nulls_last(), "ids")
     common.map_batches(placed, _write(folder, dtype, sequence), MANIFEST).write.parquet(f"{folder}/_manifest")
@@ -363,9 +366,9 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                               "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def report(docs: DataFrame, tokenizer: str) -> DataFrame:
+def report(docs: DataFrame, tokenizer: str, remembered: int = REMEMBERED_PIECES) -> DataFrame:
     """Write the files to a new folder below the shared one and read them back."""
     spark = docs.sparkSession
     folder = common.run_folder(spark, "tokens")
-    write(docs.select("doc_id", "text"), folder, tokenizer)
+    write(docs.select("doc_id", "text"), folder, tokenizer, remembered=remembered)
     return read(spark, folder)
