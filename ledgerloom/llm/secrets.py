@@ -1,7 +1,7 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-Candidates are known key formats, values assigned to names such as ``password``, and long
-unbroken tokens. The forest judges each by its length, character classes and transitions between
+Candidates are known key formats, values of 8 or more characters assigned to names such as
+``password`` (by ``=`` or ``:``, quoted or not), and unbroken tokens of 16 or more. The forest judges each by its length, character classes and transitions between
 them, dictionary coverage, whether it is part of a path, and the neighbouring words.
 
 It learns from labelled findings, at most ``SAMPLE_ROWS`` of them (those with the smallest hash).
@@ -31,14 +31,24 @@ TREES, DEPTH = 30, 6
 ACCEPT = 0.5
 LEAST_CHARACTERS = 16
 
-_TOKEN, _NAME = "[A-Za-z0-9+/_.=-]", "[A-Za-z0-9+/_.-]"
-# One pattern for all candidates: key blocks, and unbroken runs of token characters.
-CANDIDATE = rf"-----BEGIN [A-Z ]{{0,20}}PRIVATE KEY-----|(?<!{_TOKEN}){_TOKEN}{{{LEAST_CHARACTERS},}}+"
+NAMES = "password|passwd|pwd|secret|token|api_?key|access_?key|auth|bearer|credential|private_?key"
+_TOKEN = "[A-Za-z0-9+/_.=-]"
+# A name, perhaps quoted, and its sign; then a value of 8 or more non-space characters. An unquoted value
+# ends before a separator that another name follows. Groups repeat a bounded number of times, as Java recurses.
+_SIGN = rf"(?i:{NAMES})\w{{0,12}}\\?[\"']?\s{{0,4}}[=:]\s{{0,4}}"
+_PLAIN = r"(?![\"'])(?=\S{8})[^\s,;&]*+(?:[,;&](?!\w[\w.-]{0,30}\\?[\"']?[=:])[^\s,;&]*+){0,200}+"
+_ASSIGNED = rf"{_SIGN}(?!\\?[\"']?-----BEGIN )(?:\\?\"[^\s\"]{{8,}}+|\\?'[^\s']{{8,}}+|{_PLAIN})"
+# One pattern for all candidates: key blocks, assigned values, and unbroken runs of token characters.
+CANDIDATE = (rf"-----BEGIN [A-Z ]{{0,20}}PRIVATE KEY-----|(?<!{_TOKEN})(?:{_TOKEN}{{0,200}}?{_ASSIGNED}"
+             rf"|{_TOKEN}{{{LEAST_CHARACTERS},}}+)")
+# What is cut off a match: name and sign, or any other ``name=`` that leaves a long token; marks that end a sentence.
+_NAMED_PREFIX = rf"^{_TOKEN}*?{_SIGN}\\?[\"']?"
+_OTHER_PREFIX = rf"^{_TOKEN}*=(?=[^=].{{{LEAST_CHARACTERS - 1}}})"
+_TRAILING = r"[.,;:!?)\]}>\"'\\]+$"
 # Fixed formats of well-known keys.
 KNOWN = (r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}"
          r"|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"
          r"|-----BEGIN .*)$")
-NAMES = "password|passwd|pwd|secret|token|api_?key|access_?key|auth|bearer|credential|private_?key"
 DIGESTS = "sha|sha1|sha256|md5|commit|checksum|digest|hash|uuid|guid|etag|revision"
 PLACEHOLDERS = "example|sample|dummy|test|fake|placeholder|changeme|xxxx|your"
 # Common letter groups of the four languages, as the dictionary that coverage is measured by.
@@ -58,12 +68,19 @@ def _flag(condition: Column) -> Column:
 
 
 def split_assignment(x: Column) -> Column:
-    """Value and text before of a match; ``name=value`` is cut behind its sign."""
-    cut = F.regexp_extract(x["value"], rf"^(?:{_NAME}*?(?i:{NAMES})[A-Za-z0-9_]*=)", 0)
-    return F.struct(
-        (x["start"] + F.length(cut)).alias("start"), x["end"].alias("end"),
-        F.substr(x["value"], F.length(cut) + 1).alias("value"),
-        F.concat(x["before"], cut).alias("before"), x["after"].alias("after"))
+    """Value and text before and after of a match: cut behind its name and sign, and before trailing marks."""
+    named = F.regexp_extract(x["value"], _NAMED_PREFIX, 0)
+    cuts = F.struct(F.when(named != "", named).otherwise(F.regexp_extract(x["value"], _OTHER_PREFIX, 0)).alias("head"),
+                    F.regexp_extract(x["value"], _TRAILING, 0).alias("tail"))
+
+    def cut(c: Column) -> Column:
+        head, tail = F.length(c["head"]), F.length(c["tail"])
+        return F.struct(
+            (x["start"] + head).alias("start"), (x["end"] - tail).alias("end"),
+            F.substr(x["value"], head + 1, F.greatest(F.length(x["value"]) - head - tail, F.lit(0))).alias("value"),
+            F.concat(x["before"], c["head"]).alias("before"), F.concat(c["tail"], x["after"]).alias("after"))
+
+    return let(cuts, cut)
 
 
 def features(x: Column) -> Column:
