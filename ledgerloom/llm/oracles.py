@@ -104,8 +104,31 @@ JOIN s2 ON k.source IS NOT DISTINCT FROM s2.source JOIN s3 ON k.source IS NOT DI
 JOIN s4 ON k.source IS NOT DISTINCT FROM s4.source
 """
 
+OP13 = r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+k AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+         CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM h),
+c AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid,
+         coalesce(array_to_string(u[b + 1:n], ''), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": OP1,
     "op4_minhash_near_dedup": OP4,
     "op7_mixing_sources": OP7,
+    "op13_fill_in_middle": OP13,
 }

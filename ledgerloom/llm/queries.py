@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import (
-    context_mixing, decontaminate, fingerprints, labelled, mixing, near_dedup, pii, quality, secrets, token_files,
-    toxicity,
+    context_mixing, decontaminate, fill_in_middle, fingerprints, labelled, mixing, near_dedup, pii, quality, secrets,
+    token_files, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op5_secret_scan(spark, sf_dir):
 @query
 def op6_personal_data(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_fill_in_middle(spark, sf_dir):
+    return fill_in_middle.report(table(spark, sf_dir, "documents"))

@@ -15,7 +15,7 @@ def con(sf_check):
 
 
 def test_one_query_per_operator():
-    assert {n.split("_")[0] for n in QUERIES if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
