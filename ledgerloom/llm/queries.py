@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import (
     context_mixing, decontaminate, fill_in_middle, fingerprints, labelled, mixing, near_dedup, pii, quality, secrets,
-    token_files, toxicity,
+    token_files, toxicity, whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op6_personal_data(spark, sf_dir):
 @query
 def op13_fill_in_middle(spark, sf_dir):
     return fill_in_middle.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.report(table(spark, sf_dir, "embeddings"))
