@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import (
-    context_mixing, decontaminate, fill_in_middle, fingerprints, labelled, mixing, near_dedup, pii, quality, secrets,
-    token_files, toxicity, whitening,
+    context_mixing, decontaminate, fill_in_middle, fingerprints, labelled, mixing, near_dedup, packing, pii, quality,
+    secrets, token_files, toxicity, whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,8 @@ def op13_fill_in_middle(spark, sf_dir):
 @query
 def op11_embedding_whitening(spark, sf_dir):
     return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_window_packing(spark, sf_dir):
+    return packing.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
