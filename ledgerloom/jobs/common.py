@@ -5,50 +5,75 @@ from __future__ import annotations
 import argparse
 import uuid
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.operators.quality import load_counts
+from ledgerloom.operators.quality import Watch
 from ledgerloom.session import shared_folder, tune
-from ledgerloom.sources.feeds import read_lines
-from ledgerloom.sources.sinks import remove, stage, upsert_report, write_report
+from ledgerloom.sources.feeds import KEPT, read_lines
+from ledgerloom.sources.intake import REJECT_COLUMNS, Intake, taken_in
+from ledgerloom.sources.sinks import remove, stage
+from ledgerloom.sources.store import BASE, DELTA, Store
 from ledgerloom.sources.tables import REPORT_TABLES
 
 
 class Run:
-    """One run of a job: where it writes reports and stages shared relations.
+    """One run: where it writes reports and stages shared relations.
 
-    Staged relations go to the cluster's shared checkpoint folder where one is set,
-    else below the output folder; each run has a folder of its own there, which
-    ``close`` removes once all reports are written. Reports replace their tables, or with
-    ``upsert`` only the rows with the same keys.
+    Feeds are parsed once, into good rows and rejects. Staged relations go to the cluster's shared
+    checkpoint folder where one is set, else below the output folder; each run has a folder of its
+    own there, which ``close`` removes. Reports become visible together when the run is
+    published: new tables, or with ``upsert`` the rows that replace those with the same keys.
     """
 
-    def __init__(self, spark: SparkSession, output: str, upsert: bool = False):
+    def __init__(self, spark: SparkSession, output: str, upsert: bool = False, counts: bool = False):
         self.spark, self.output, self.upsert = spark, output.rstrip("/"), upsert
         folder = shared_folder(spark, f"{self.output}/_stage")
         self.work = f"{folder.rstrip('/')}/run-{uuid.uuid4().hex}"
+        self.store = Store(spark, self.output)
+        self.parts: dict[str, tuple[str, str]] = {}
+        self.counts = counts
+
+    def feeds(self, feed_folder: str, layouts, job: str) -> dict[str, DataFrame]:
+        """Staged rows of each feed; its rejects go to ``<output>/<job>/rejects``."""
+        paths = feed_paths(feed_folder, layouts)
+        prepare(self.spark, paths)
+        taken = {feed.name: taken_in(self.spark, paths[feed.name], feed, f"{self.work}/{job}/feeds/{feed.name}")
+                 for feed in layouts}
+        write_rejects(taken, f"{self.output}/{job}")
+        if self.counts:
+            write_load_counts(self.spark, taken, f"{self.output}/{job}")
+        return {name: feed.rows for name, feed in taken.items()}
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         return stage(df, f"{self.work}/{name}")
 
-    def stage_inputs(self, inputs, *names: str):
+    def stage_inputs(self, inputs, job: str, *names: str):
         """Inputs with the named frames staged: many reports look them up."""
-        staged = {name: self.stage(getattr(inputs, name), f"inputs/{name}") for name in names}
+        staged = {name: self.stage(getattr(inputs, name), f"{job}/inputs/{name}") for name in names}
         return replace(inputs, **staged)
 
+    def write(self, reports: dict, relation: DataFrame, inputs) -> None:
+        for name, build in reports.items():
+            part = self.store.write(build(relation, inputs), REPORT_TABLES[name])
+            self.parts[name] = (DELTA if self.upsert else BASE, part)
+
+    def watch(self) -> Watch | None:
+        """Counters for a job to take as it writes, where the run is to count."""
+        return Watch() if self.counts else None
+
+    def write_misses(self, job: str, watch: Watch) -> None:
+        write_counters(self.spark, watch.values(), "counter", "misses", f"{self.output}/{job}/lookup_misses")
+
+    def publish(self) -> int:
+        """Show all reports of the run at once."""
+        return self.store.publish(self.parts)
+
     def close(self) -> None:
         """Remove the staged relations; a run that fails leaves them for inspection."""
         remove(self.spark, self.work)
 
-    def write(self, reports: dict, relation: DataFrame, inputs) -> None:
-        for name, build in reports.items():
-            report, table = build(relation, inputs), REPORT_TABLES[name]
-            if self.upsert:
-                upsert_report(report, table, self.output, self.work)
-            else:
-                write_report(report, table, self.output)
-
 
 def feed_paths(folder: str, feeds) -> dict[str, str]:
     """Feed name to path: ``<folder>/<name>.csv``, a file or a folder of files."""
@@ -60,10 +85,21 @@ def prepare(spark: SparkSession, paths: dict[str, str]) -> None:
     tune(spark, *[read_lines(spark, path) for path in paths.values()])
 
 
-def write_counts(feeds: dict[str, DataFrame], missed: DataFrame, folder: str) -> None:
-    """Rows loaded per feed and rows without a match per lookup."""
-    load_counts(feeds).write.mode("overwrite").parquet(f"{folder}/load_counts")
-    missed.write.mode("overwrite").parquet(f"{folder}/lookup_misses")
+def write_rejects(taken: dict[str, Intake], folder: str) -> None:
+    """One row for each rejected line: feed, reason, place and the line."""
+    found = [feed.rejects.select(F.lit(name).alias("feed"), *REJECT_COLUMNS) for name, feed in taken.items()]
+    reduce(DataFrame.unionByName, found).write.mode("overwrite").parquet(f"{folder}/rejects")
+
+
+def write_load_counts(spark: SparkSession, taken: dict[str, Intake], folder: str) -> None:
+    """Rows loaded per feed, as counted when it was staged."""
+    loaded = {name: feed.counts[KEPT] for name, feed in taken.items()}
+    write_counters(spark, loaded, "feed", "n_rows", f"{folder}/load_counts")
+
+
+def write_counters(spark: SparkSession, values: dict, name: str, value: str, path: str) -> None:
+    rows = spark.createDataFrame(list(values.items()), f"{name} string, {value} bigint")
+    rows.coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def parser(description: str) -> argparse.ArgumentParser:

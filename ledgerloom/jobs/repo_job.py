@@ -5,33 +5,52 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import SparkSession
 
 from ledgerloom.jobs import common
 from ledgerloom.plans import counters, repo
 from ledgerloom.sources import layouts, loaders
 
-
-def run(spark: SparkSession, feed_folder: str, output: str, upsert: bool = False,
-        counts: bool = False) -> None:
-    paths = common.feed_paths(feed_folder, layouts.REPO_JOB_FEEDS)
-    common.prepare(spark, paths)
-    this_run = common.Run(spark, output, upsert)
-    inputs = this_run.stage_inputs(loaders.repo_inputs(spark, paths), "bonds", "members")
+JOB = "repo_job"
+
+
+def write_reports(this_run: common.Run, feed_folder: str) -> None:
+    """Stage the feeds and write the fourteen reports; the run publishes them."""
+    inputs = loaders.repo_inputs(this_run.feeds(feed_folder, layouts.REPO_JOB_FEEDS, JOB))
+    watch = this_run.watch()
+    if watch:
+        inputs = counters.watch_repo(inputs, watch)
+    inputs = this_run.stage_inputs(inputs, JOB, "bonds", "members")
+    profiled = inputs
+    if watch:
+        profiled = replace(inputs, members=counters.watch_profiles(inputs.members, inputs, watch))
+    inputs = replace(inputs, profiles=this_run.stage(repo.member_profiles(profiled), f"{JOB}/profiles"))
+    confirmed = repo.confirmed_deals(inputs)
+    if watch:
+        confirmed = counters.watch_confirmed(confirmed, inputs, watch)
     deals = this_run.stage(
-        repo.valid_deals(inputs, rating=True, bank_flag=True, line_count=True), "deals")
+        repo.valid_deals(inputs, rating=True, bank_flag=True, line_count=True, confirmed=confirmed), f"{JOB}/deals")
     pledged = repo.pledged_deals(deals)
     # the fan-out is read once and never stored: six reports regroup its sums
+    lined = counters.watch_collateral(inputs, watch) if watch else inputs
     line_sums = this_run.stage(
-        repo.summed(repo.line_legs(repo.collateral_lines(deals, inputs))), "line_sums")
-    deal_sums = this_run.stage(repo.summed(repo.pledged_legs(pledged)), "deal_sums")
+        repo.summed(repo.line_legs(repo.collateral_lines(deals, lined))), f"{JOB}/line_sums")
+    deal_sums = this_run.stage(repo.summed(repo.pledged_legs(pledged)), f"{JOB}/deal_sums")
     this_run.write(repo.FROM_DEALS, deals, inputs)
     this_run.write(repo.FROM_PLEDGED_DEALS, pledged, inputs)
     this_run.write(repo.FROM_PLEDGED_LEGS, deal_sums, inputs)
     this_run.write(repo.FROM_LINE_LEGS, line_sums, inputs)
-    if counts:
-        feeds = loaders.read_feeds(spark, paths, layouts.REPO_JOB_FEEDS)
-        common.write_counts(feeds, counters.repo_misses(inputs), f"{this_run.output}/repo_job")
+    if watch:
+        this_run.write_misses(JOB, watch)
+
+
+def run(spark: SparkSession, feed_folder: str, output: str, upsert: bool = False,
+        counts: bool = False) -> None:
+    this_run = common.Run(spark, output, upsert, counts)
+    write_reports(this_run, feed_folder)
+    this_run.publish()
     this_run.close()
 
 

@@ -106,6 +106,18 @@ def one_per_key(dimension: DataFrame, *keys: str) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
+def last_per_key(rows: DataFrame, *keys: str, position: str) -> DataFrame:
+    """One row per key: of several rows the one with the greatest position, which is unique in its key.
+
+    The greatest position is a hash aggregation over numbers; whole rows are neither sorted nor
+    gathered. They are then kept by their position, so a hot key costs one listed row.
+    """
+    last = apart(rows, *keys).agg(F.max(position).alias(position)).drop(APART)
+    last = F.broadcast(last) if is_small(last) else last.hint("shuffle_hash")
+    own = [F.col(f"_rows.{c}").eqNullSafe(F.col(f"_last.{c}")) for c in (*keys, position)]
+    return rows.alias("_rows").join(last.alias("_last"), own, "left_semi").drop(position)
+
+
 def with_root(members: DataFrame, key: str = "unq_id", code: str = "member_cd",
               root_code: str = "rt_member_cd", default: str = "None") -> DataFrame:
     """Add ``root_id``, the key of the root member that the root code names.

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
+
+from ledgerloom.session import broadcast_if_small
 
 
 def load_counts(feeds: dict[str, DataFrame]) -> DataFrame:
@@ -35,10 +37,46 @@ def miss_report(counters: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows while another action runs over the frame, without a job of its own."""
-    observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias("n_rows")), observation
+class Watch:
+    """Counters taken while a run writes its relations, without a job of their own.
+
+    Each method returns the same rows, to be written once. A counter is known when they are; it is
+    null if they were not. A stage that Spark runs again after the loss of an executor may be counted
+    again in a relation behind a shuffle: counters tell of data quality and decide nothing.
+    """
+
+    def __init__(self):
+        self._seen: list[tuple[Observation, list[str]]] = []
+
+    def rows(self, df: DataFrame, **conditions: Column) -> DataFrame:
+        """Count the rows that meet each condition."""
+        observation = Observation()
+        self._seen.append((observation, list(conditions)))
+        return df.observe(observation, *[F.count_if(c).alias(name) for name, c in conditions.items()])
+
+    def misses(self, df: DataFrame, where: Column | None = None,
+               **lookups: tuple[DataFrame, dict[str, str]]) -> DataFrame:
+        """Count the rows without an entry in each dimension (of those that meet ``where``).
+
+        Dimensions are reduced to their distinct keys, and broadcast up to the checked size.
+        """
+        marked, columns = df, df.columns
+        for name, (dimension, keys) in lookups.items():
+            renamed = {c: f"_{name}_{c}" for c in keys}
+            known = dimension.select(*[F.col(d).alias(renamed[c]) for c, d in keys.items()]).distinct().withColumn(
+                f"_{name}", F.lit(True))
+            same = reduce(lambda a, b: a & b, [F.col(c) == F.col(new) for c, new in renamed.items()])
+            marked = marked.join(broadcast_if_small(known), same, "left").drop(*renamed.values())
+        counted = F.lit(True) if where is None else where
+        return self.rows(marked, **{name: counted & F.col(f"_{name}").isNull() for name in lookups}).select(*columns)
+
+    def values(self) -> dict[str, int | None]:
+        """The counters, in the order they were set up."""
+        found = {}
+        for observation, names in self._seen:
+            taken = observation.get
+            found.update({name: taken.get(name) for name in names})
+        return found
 
 
 def _stack(frames: list[DataFrame]) -> DataFrame:

@@ -203,6 +203,7 @@ def bond_turnover_rate(deals: DataFrame, inputs: BondInputs,
     the amounts of that tenor, and bonds without face value have no rows; a literal reading of
     the stored tables would put the whole day's amounts on each tenor row.
     """
+    rates = rates or inputs.rates
     if rates is None:
         reported = keep_listed(inputs.collateral, inputs.bonds, "ri_id", "bond_id")
         rates = collateral_rate(inputs.repo_deals, reported)

@@ -23,6 +23,7 @@ class BondInputs:
     methods     trdng_mthd_id, trdng_mthd_blngl_nm
     repo_deals  ev_id, deal_dt, trade_amnt
     collateral  ri_id, ev_id, cnvrsn_prprtn, total_face_value
+    rates       T3 where a job has it staged: ri_id, deal_dt, zy_rate
     withdrawn   status of a withdrawn deal
     """
 
@@ -35,6 +36,7 @@ class BondInputs:
     methods: DataFrame
     repo_deals: DataFrame
     collateral: DataFrame
+    rates: DataFrame | None = None
     withdrawn: str = "2"
 
 
@@ -51,6 +53,7 @@ class RepoInputs:
     banks       deal_nmbr of bank-to-bank deals
     bonds       bond_id, bond_class, issr_nm
     collateral  ev_id, bond_id, cnvrsn_prprtn
+    profiles    members with root and kind, where a job has them staged
     withdrawn   status of a withdrawn deal
     fund_marker text in the full name of a money market fund
     """
@@ -62,5 +65,6 @@ class RepoInputs:
     banks: DataFrame
     bonds: DataFrame
     collateral: DataFrame
+    profiles: DataFrame | None = None
     withdrawn: str = "2"
     fund_marker: str = "货币市场基金"

@@ -63,6 +63,8 @@ def member_profiles(inputs: RepoInputs) -> DataFrame:
 
     Identifiers are text, since a member without a known root gets the miss marker.
     """
+    if inputs.profiles is not None:
+        return inputs.profiles
     members = inputs.members.withColumn("unq_id", F.col("unq_id").cast("string"))
     is_fund = is_money_fund(inputs.fund_marker)
     return with_root(members, default=labels.MISSING).select(
@@ -92,12 +94,12 @@ def with_valid_parties(deals: DataFrame, inputs: RepoInputs) -> DataFrame:
 
 
 def valid_deals(inputs: RepoInputs, rating: bool = False, bank_flag: bool = False,
-                line_count: bool = False) -> DataFrame:
+                line_count: bool = False, confirmed: DataFrame | None = None) -> DataFrame:
     """R1, with the optional attributes a report needs.
 
     The line count comes first, while the deals are still distributed by their id.
     """
-    deals = confirmed_deals(inputs)
+    deals = confirmed_deals(inputs) if confirmed is None else confirmed
     if line_count:
         deals = with_line_count(deals, inputs)
     if bank_flag:

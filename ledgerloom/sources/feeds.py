@@ -23,6 +23,10 @@ _BLANKS = " \t\r\n\x0b\x0c"
 # layout's tag. The tags are short and also occur in names, so tags may drop data lines.
 FIRST_LINE, TAG = "first line", "tag"
 
+# What becomes of a line.
+KEPT = "kept"
+EMPTY_LINE, HEADER_LINE, FIELD_COUNT, EMPTY_FIELD = REASONS = ("empty line", "header tag", "field count", "empty field")
+
 
 def read_lines(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
     """Lines as column ``value``; with ``FIRST_LINE`` without the first line of each file."""
@@ -75,16 +79,22 @@ def rejects(lines: DataFrame, layout: FeedLayout, value: str = "value", header:
     """(reason, n_lines): what ``parse_feed`` drops, and ``kept``. One pass over the lines."""
     line = F.col(value)
     rows = lines.select(line.alias("line"), F.explode(F.array(split_fields(line))).alias("fields"))
-    reason = F.when(F.coalesce(F.length("line"), F.lit(0)) == 0, "empty line")
+    reason = F.coalesce(reject_reason(layout, header), F.lit(KEPT))
+    return rows.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def reject_reason(layout: FeedLayout, header: str = TAG) -> Column:
+    """Why a line (columns ``line`` and ``fields``) does not fit the layout; null if it fits."""
+    reason = F.when(F.coalesce(F.length("line"), F.lit(0)) == 0, EMPTY_LINE)
     if header == TAG:
-        reason = reason.when(F.col("line").contains(layout.header_tag), "header tag")
+        reason = reason.when(F.col("line").contains(layout.header_tag), HEADER_LINE)
     if layout.exact_arity:
-        reason = reason.when(F.size("fields") != len(layout.columns), "field count")
+        reason = reason.when(F.size("fields") != len(layout.columns), FIELD_COUNT)
     required = [layout.columns.index(c) for c in layout.required]
     if required:
         missing = [F.length(F.coalesce(F.get("fields", F.lit(i)), F.lit(""))) == 0 for i in required]
-        reason = reason.when(reduce(lambda a, b: a | b, missing), "empty field")
-    return rows.groupBy(reason.otherwise("kept").alias("reason")).agg(F.count(F.lit(1)).alias("n_lines"))
+        reason = reason.when(reduce(lambda a, b: a | b, missing), EMPTY_FIELD)
+    return reason
 
 
 def split_fields(line: Column) -> Column:

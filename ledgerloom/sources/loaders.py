@@ -1,18 +1,18 @@
-"""From feed files to the inputs of the two jobs.
+"""From feeds to the inputs of the two jobs.
 
-``paths`` maps layout names to files or folders.
+``raw`` maps layout names to the rows of staged feeds, with their position: of several lines with
+a key a dictionary holds the last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions import labels
 from ledgerloom.functions.text import blank_to_null, parse_date, parse_decimal
-from ledgerloom.operators.lookups import lookup, one_per_key
+from ledgerloom.operators.lookups import last_per_key, lookup
 from ledgerloom.plans.inputs import BondInputs, RepoInputs
-from ledgerloom.sources import layouts
-from ledgerloom.sources.feeds import read_feed
+from ledgerloom.sources.intake import POSITION
 
 # Digits of amounts and of rates: wide enough that feeds lose none, narrow enough that sums of
 # amount times rate stay exact in 38 digits.
@@ -26,15 +26,13 @@ DEAL_ID_PREFIX = "11002"
 BANK_FLAG = "1"
 
 
-def read_feeds(spark: SparkSession, paths: dict[str, str], feeds) -> dict[str, DataFrame]:
-    """Text columns of every feed, by layout name."""
-    return {feed.name: read_feed(spark, paths[feed.name], feed) for feed in feeds}
+def dictionary(feed: DataFrame, key: str, *columns: Column | str) -> DataFrame:
+    """Key and columns of a feed; the last line of a key holds."""
+    return last_per_key(feed.select(*columns, POSITION), key, position=POSITION)
 
 
-def bond_inputs(spark: SparkSession, paths: dict[str, str]) -> BondInputs:
-    raw = read_feeds(spark, paths, layouts.BOND_JOB_FEEDS)
-    types = one_per_key(raw["after_hours_bond_type"].select("member_ctgry_id", "ins_show_name"),
-                        "member_ctgry_id")
+def bond_inputs(raw: dict[str, DataFrame]) -> BondInputs:
+    types = dictionary(raw["after_hours_bond_type"], "member_ctgry_id", "member_ctgry_id", "ins_show_name")
     members = lookup(raw["member_d"], types, "member_ctgry_id", {"ins_show_name": labels.MISSING})
     return BondInputs(
         deals=raw["bond_deal"].select(
@@ -44,33 +42,30 @@ def bond_inputs(spark: SparkSession, paths: dict[str, str]) -> BondInputs:
             _money("ttl_face_value").alias("face_amnt"), _rate("yr_of_time_to_mrty"),
             _rate("ytm_rate"), "trdng_mthd_id",
         ),
-        bonds=one_per_key(raw["bond_d"].select(
-            "bond_id", "bond_nm", "bond_cd", "bond_ctgry_id", "bond_ctgry_nm",
+        bonds=dictionary(
+            raw["bond_d"], "bond_id", "bond_id", "bond_nm", "bond_cd", "bond_ctgry_id", "bond_ctgry_nm",
             _date("frst_value_dt", DASHED), _date("mrty_dt", DASHED), _date("lstng_dt", DASHED),
-            "scnd_blngl_desc", "cstdtn_bank_id", _money("ttl_face_value"),
-        ), "bond_id"),
-        orgs=one_per_key(raw["org"].select(
-            F.col("unq_id_in_src_sys").alias("unq_id"), "chn_full_nm"), "unq_id"),
-        strategies=one_per_key(raw["dps_v_cbt_all_txn_dtl"].select(
-            F.col("dbd_deal_deal_idnty").alias("deal_nmbr"), "deal_strategy"), "deal_nmbr"),
+            "scnd_blngl_desc", "cstdtn_bank_id", _money("ttl_face_value")),
+        orgs=dictionary(raw["org"], "unq_id", F.col("unq_id_in_src_sys").alias("unq_id"), "chn_full_nm"),
+        strategies=dictionary(raw["dps_v_cbt_all_txn_dtl"], "deal_nmbr",
+                              F.col("dbd_deal_deal_idnty").alias("deal_nmbr"), "deal_strategy"),
         removed=raw["trdx_deal_infrmn_rmv_d"].where(
             ~((F.col("dir_oprtn_type_indc") == REMOVE) & (F.col("dir_rmv_status_indc") == ACTIVE))
         ).select("deal_id"),
         members=members.select("ip_id", "ins_show_name", *_validity(DASHED)),
-        methods=raw["trdng_mthd_d"],
-        repo_deals=one_per_key(raw["bond_repo_deal"].select(
-            "ev_id", _date("deal_dt", DASHED), _money("trade_amnt")), "ev_id"),
+        methods=raw["trdng_mthd_d"].drop(POSITION),
+        repo_deals=dictionary(raw["bond_repo_deal"], "ev_id", "ev_id", _date("deal_dt", DASHED), _money("trade_amnt")),
         collateral=raw["ev_cltrl_dtls"].select(
             "ri_id", "ev_id", _rate("cnvrsn_prprtn"), _money("total_face_value")),
     )
 
 
-def repo_inputs(spark: SparkSession, paths: dict[str, str]) -> RepoInputs:
-    raw = read_feeds(spark, paths, layouts.REPO_JOB_FEEDS)
-    members = lookup(raw["member_d"], member_show_names(raw), "member_ctgry_id",
-                     {"ins_show_name": labels.MISSING})
-    products = one_per_key(raw["pd_d"].select(F.col("pd_id").alias("trdng_pd_id"), "pd_cd"),
-                           "trdng_pd_id")
+def repo_inputs(raw: dict[str, DataFrame]) -> RepoInputs:
+    members = lookup(
+        dictionary(raw["member_d"], "ip_id", "ip_id", F.col("unq_id_in_src_sys").alias("unq_id"), "member_cd",
+                   "rt_member_cd", "full_nm", "member_ctgry_id", *_validity(SLASHED)),
+        member_show_names(raw), "member_ctgry_id", {"ins_show_name": labels.MISSING})
+    products = dictionary(raw["pd_d"], "trdng_pd_id", F.col("pd_id").alias("trdng_pd_id"), "pd_cd")
     deals = lookup(raw["bond_repo_deal"], products, "trdng_pd_id", {"pd_cd": labels.MISSING})
     removal = raw["trdx_deal_infrmn_rmv_d"]
     superseded = (
@@ -82,21 +77,16 @@ def repo_inputs(spark: SparkSession, paths: dict[str, str]) -> RepoInputs:
             "ev_id", "repo_pty_id", "rvrse_repo_pty_id", "pd_cd", "deal_nmbr", "trdng_ri_id", "st",
             _date("deal_dt", SLASHED), _rate("deal_repo_rate"), _money("trade_amnt"),
         ),
-        members=one_per_key(members.select(
-            "ip_id", F.col("unq_id_in_src_sys").alias("unq_id"), "member_cd", "rt_member_cd",
-            "full_nm", "ins_show_name", *_validity(SLASHED),
-        ), "ip_id"),
+        members=members.select("ip_id", "unq_id", "member_cd", "rt_member_cd", "full_nm", "ins_show_name",
+                               "efctv_from_dt", "efctv_to_dt"),
         confirmed=prefixed(removal.where(~superseded), "deal_id", "ev_id"),
-        ratings=one_per_key(raw["ri_credit_rtng"].select(
-            F.col("ri_id").alias("trdng_ri_id"),
-            labels.rating_bucket(F.col("rtng_desc")).alias("rtng_desc"),
-        ), "trdng_ri_id"),
+        ratings=dictionary(raw["ri_credit_rtng"], "trdng_ri_id", F.col("ri_id").alias("trdng_ri_id"),
+                           labels.rating_bucket(F.col("rtng_desc")).alias("rtng_desc")),
         banks=raw["dps_v_cr_dep_txn_dtl"].where(
             F.col("dpst_instn_trdng_indctr") == BANK_FLAG
         ).select(F.col("deal_number").alias("deal_nmbr")),
-        bonds=one_per_key(raw["bond_d"].select(
-            "bond_id", labels.bond_class(F.col("bond_ctgry_nm")).alias("bond_class"), "issr_nm",
-        ), "bond_id"),
+        bonds=dictionary(raw["bond_d"], "bond_id", "bond_id",
+                         labels.bond_class(F.col("bond_ctgry_nm")).alias("bond_class"), "issr_nm"),
         collateral=raw["ev_cltrl_dtls"].select(
             "ev_id", F.col("ri_id").alias("bond_id"), _rate("cnvrsn_prprtn")),
     )
@@ -104,13 +94,11 @@ def repo_inputs(spark: SparkSession, paths: dict[str, str]) -> RepoInputs:
 
 def member_show_names(raw: dict[str, DataFrame]) -> DataFrame:
     """Member category and its display name: market close type -> category."""
-    close_types = one_per_key(
-        raw["market_close_type_i"].where(F.col("market_nm") == labels.PLEDGED_REPO)
-        .select("ctgry_nm", "ins_show_name"), "ctgry_nm",
-    )
-    categories = lookup(raw["member_ctgry_d"], close_types, "ctgry_nm",
-                        {"ins_show_name": labels.MISSING})
-    return one_per_key(categories.select("member_ctgry_id", "ins_show_name"), "member_ctgry_id")
+    close_types = dictionary(raw["market_close_type_i"].where(F.col("market_nm") == labels.PLEDGED_REPO),
+                             "ctgry_nm", "ctgry_nm", "ins_show_name")
+    categories = dictionary(raw["member_ctgry_d"], "member_ctgry_id", "member_ctgry_id", "ctgry_nm")
+    return lookup(categories, close_types, "ctgry_nm", {"ins_show_name": labels.MISSING}).select(
+        "member_ctgry_id", "ins_show_name")
 
 
 def prefixed(listed: DataFrame, column: str, name: str) -> DataFrame:

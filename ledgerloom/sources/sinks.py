@@ -1,77 +1,34 @@
 """Table and text sinks.
 
-A report table is a Parquet folder, partitioned by deal date where it has one.
+Report tables live in a versioned store (``sources/store.py``).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.operators.merging import upsert
+from ledgerloom.sources.store import BASE, DELTA, Store
 from ledgerloom.sources.tables import ReportTable
 
-PARTITION = "deal_dt"
 
+def write_report(df: DataFrame, table: ReportTable, folder: str) -> int:
+    """Replace the whole table; returns the version that shows it."""
+    store = Store(df.sparkSession, folder)
+    return store.publish({table.name: (BASE, store.write(df, table))})
 
-def write_report(df: DataFrame, table: ReportTable, folder: str) -> str:
-    """Replace the whole table, whatever overwrite mode the session has set."""
-    path = report_path(table, folder)
-    (
-        _partitioned(table.conform(df), table)
-        .option("partitionOverwriteMode", "static")
-        .mode("overwrite")
-        .parquet(path)
-    )
-    return path
 
+def upsert_report(arriving: DataFrame, table: ReportTable, folder: str) -> int:
+    """Insert or replace rows by key: only the arriving rows are written.
 
-def upsert_report(arriving: DataFrame, table: ReportTable, folder: str, work_folder: str) -> str:
-    """Insert or replace rows by key; only partitions with arriving rows are rewritten.
-
-    The merged partitions are written to ``work_folder`` first: a table cannot be read
-    and overwritten in one job, and a lost executor then costs no data. Use a work
-    folder once. A table that is not there yet counts as empty.
+    A table that is not there yet counts as empty.
     """
-    spark = arriving.sparkSession
-    path = report_path(table, folder)
-    fresh = stage(table.conform(arriving), f"{work_folder}/{table.name}_arriving")
-    existing = _existing(spark, table, folder)
-    if existing is None:
-        return write_report(fresh, table, folder)
-    if PARTITION in table.key:
-        existing = existing.where(F.col(PARTITION).isin(_days(fresh)))
-    merged = upsert(existing, fresh, list(table.key)).select(*table.columns)
-    staged = stage(merged, f"{work_folder}/{table.name}_merged")
-    (
-        _partitioned(staged, table)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
-    return path
-
-
-def _existing(spark: SparkSession, table: ReportTable, folder: str) -> DataFrame | None:
-    try:
-        return read_report(spark, table, folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def _days(df: DataFrame) -> list:
-    """Distinct deal dates, at most one per calendar day; as literals they prune partitions."""
-    return [row[0] for row in df.select(PARTITION).distinct().collect()]
+    store = Store(arriving.sparkSession, folder)
+    return store.publish({table.name: (DELTA, store.write(arriving, table))})
 
 
 def read_report(spark: SparkSession, table: ReportTable, folder: str) -> DataFrame:
-    return table.conform(spark.read.schema(table.schema).parquet(report_path(table, folder)))
-
-
-def report_path(table: ReportTable, folder: str) -> str:
-    return f"{folder.rstrip('/')}/{table.name.lower()}"
+    """The table as of the latest version. Read several tables through one ``Store.snapshot``."""
+    return Store(spark, folder).snapshot().read(table)
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -92,10 +49,3 @@ def remove(spark: SparkSession, path: str) -> None:
 def write_text(df: DataFrame, path: str) -> None:
     """Write a one-column frame of text lines."""
     df.write.mode("overwrite").text(path)
-
-
-def _partitioned(df: DataFrame, table: ReportTable):
-    if PARTITION not in table.key:
-        return df.write
-    # rebalance: few files per date, and a date with most of the rows is still split
-    return df.hint("rebalance", PARTITION).write.partitionBy(PARTITION)

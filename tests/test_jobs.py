@@ -6,8 +6,10 @@ from pathlib import Path
 
 import pytest
 
-from ledgerloom.jobs import bond_job, common, repo_job
-from ledgerloom.sources import sinks
+from ledgerloom.jobs import bond_job, common, rebuild_job, repo_job
+from ledgerloom.plans import counters
+from ledgerloom.sources import feeds, layouts, loaders, sinks
+from ledgerloom.sources.store import Store
 from ledgerloom.sources.tables import REPORT_TABLES
 
 BOND_FEEDS = {
@@ -242,6 +244,87 @@ def test_lookup_misses(spark, bond_reports, repo_reports):
         "deal_product": 0, "deal_rating": 1, "collateral_bond": 1}
 
 
+def test_counters_equal_the_queries(spark, tmp_path):
+    """What a run counts as it writes is what the counter queries count on the same inputs."""
+    for job, feeds_of, make, query, source in (
+            (bond_job, layouts.BOND_JOB_FEEDS, loaders.bond_inputs, counters.bond_misses, BOND_FEEDS),
+            (repo_job, layouts.REPO_JOB_FEEDS, loaders.repo_inputs, counters.repo_misses, REPO_FEEDS)):
+        folder, out = write(tmp_path / job.JOB, source), str(tmp_path / f"{job.JOB}_out")
+        job.run(spark, folder, out, counts=True)
+        run = common.Run(spark, str(tmp_path / f"{job.JOB}_again"))
+        inputs = make(run.feeds(folder, feeds_of, job.JOB))
+        assert counted(spark, f"{out}/{job.JOB}/lookup_misses", "misses") == {
+            r["counter"]: r["misses"] for r in query(inputs).collect()}
+
+
+def test_counters_add_no_scan(spark, tmp_path, monkeypatch):
+    """With counts a run reads the text of each feed as often as without: once."""
+    parsed = []
+    reader = feeds.read_lines
+    monkeypatch.setattr(feeds, "read_lines", lambda *a, **k: parsed.append(a[1]) or reader(*a, **k))
+    folder = write(tmp_path / "in", REPO_FEEDS)
+    for counts in (False, True):
+        parsed.clear()
+        repo_job.run(spark, folder, str(tmp_path / f"out{counts}"), counts=counts)
+        assert sorted(parsed) == sorted(common.feed_paths(folder, layouts.REPO_JOB_FEEDS).values())
+
+
+def test_rejects_are_written(spark, tmp_path):
+    dirty = BOND_FEEDS["bond_deal"] + "D12,too,few\n\n"
+    nameless = BOND_FEEDS["dps_v_cbt_all_txn_dtl"] + ",3\n"
+    folder = write(tmp_path / "in", {**BOND_FEEDS, "bond_deal": dirty, "dps_v_cbt_all_txn_dtl": nameless})
+    bond_job.run(spark, folder, str(tmp_path / "out"))
+    rejects = spark.read.parquet(str(tmp_path / "out" / "bond_job" / "rejects")).collect()
+    assert sorted((r.feed, r.reason, r.line) for r in rejects) == [
+        ("bond_deal", "field count", "D12,too,few"), ("dps_v_cbt_all_txn_dtl", "empty field", ",3")]
+    assert all(r.file.endswith(f"/{r.feed}.csv") and r.split_start == 0 for r in rejects)
+
+
+def test_last_line_of_a_key_holds(spark, tmp_path):
+    """Names are not the greatest text but the last one."""
+    twice = BOND_FEEDS["org"] + "Zeta Bank,C2\nAlpha Bank,C2\n"
+    bonds = BOND_FEEDS["bond_d"].replace(",C1,", ",C2,")
+    out = str(tmp_path / "out")
+    bond_job.run(spark, write(tmp_path / "in", {**BOND_FEEDS, "org": twice, "bond_d": bonds}), out)
+    assert ("B1", "Alpha Bank") in report(spark, out, "BOND_BSC_INFO", "bond_id", "cstdn")
+
+
+def test_reader_sees_one_set_of_tables(spark, tmp_path, monkeypatch):
+    """During a rebuild, and after one that failed half-way, readers see the old tables, all of them."""
+    bond_in, repo_in = write(tmp_path / "b", BOND_FEEDS), write(tmp_path / "r", REPO_FEEDS)
+    out = str(tmp_path / "out")
+    assert rebuild_job.run(spark, bond_in, repo_in, out) == 1
+    shown = Store(spark, out).snapshot()
+    assert set(shown.parts) == set(REPORT_TABLES)
+    old = {name: shown.read(table).collect() for name, table in REPORT_TABLES.items()}
+
+    other = {name: text.replace("2018/07/18", "2018/07/17") for name, text in REPO_FEEDS.items()}
+    seen, plain = [], Store.write
+
+    def fails_late(store, df, table):
+        part = plain(store, df, table)
+        seen.append(Store(spark, out).snapshot().number)
+        if table.name == "CTGRY_BOND_ISSR_DEAL_INFO":
+            raise OSError("disk lost")
+        return part
+
+    monkeypatch.setattr(Store, "write", fails_late)
+    repo_other = write(tmp_path / "r2", other)
+    with pytest.raises(OSError):
+        rebuild_job.run(spark, bond_in, repo_other, out)
+    assert len(seen) > 20 and set(seen) == {1}
+    now = Store(spark, out).snapshot()
+    assert now.parts == shown.parts
+    assert {name: now.read(table).collect() for name, table in REPORT_TABLES.items()} == old
+
+    monkeypatch.setattr(Store, "write", plain)
+    assert rebuild_job.run(spark, bond_in, repo_other, out) == 2
+    assert {name: shown.read(table).collect() for name, table in REPORT_TABLES.items()} == old  # an open reader
+    newer = Store(spark, out).snapshot()
+    days = {r.deal_dt for r in newer.read(REPORT_TABLES["GLOBAL_PRICE_DEAL_INFO"]).collect()}
+    assert days == {date(2018, 7, 17)}
+
+
 def test_dirty_deals(spark, tmp_path):
     """A bad date drops the deal, a bad number only its measure; both are counted."""
     dirty = BOND_FEEDS["bond_deal"] + (
@@ -273,9 +356,9 @@ def test_late_deals_are_upserted(spark, tmp_path):
 def test_staged_relations_follow_the_checkpoint_setting(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(common.Run, "close", lambda run: None)
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
-    before = set(shared.glob("run-*/deals"))
+    before = set(shared.glob("run-*/bond_job/deals"))
     bond_job.run(spark, write(tmp_path / "in", BOND_FEEDS), str(tmp_path / "out"))
-    assert len(set(shared.glob("run-*/deals")) - before) == 1
+    assert len(set(shared.glob("run-*/bond_job/deals")) - before) == 1
     assert not (tmp_path / "out" / "_stage").exists()
 
 
@@ -296,5 +379,5 @@ def test_fan_out_is_not_stored(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(common, "shared_folder", lambda spark, fallback: fallback)
     monkeypatch.setattr(common.Run, "close", lambda run: None)
     repo_job.run(spark, write(tmp_path / "in", REPO_FEEDS), str(tmp_path / "out"))
-    staged = {p.name for p in (tmp_path / "out" / "_stage").glob("run-*/*")}
-    assert staged == {"deals", "line_sums", "deal_sums", "inputs"}
+    staged = {p.name for p in (tmp_path / "out" / "_stage").glob("run-*/repo_job/*")}
+    assert staged == {"feeds", "deals", "line_sums", "deal_sums", "inputs", "profiles"}

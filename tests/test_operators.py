@@ -94,7 +94,29 @@ def test_misses(spark):
     assert quality.misses(facts.where("k = 2"), dim, {"k": "id"}).first().misses == 0
 
 
-def test_observed_count(spark):
-    df, observation = quality.observed(spark.range(7), "loaded")
-    df.write.format("noop").mode("overwrite").save()
-    assert observation.get["n_rows"] == 7
+def test_watched_counters(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, None), (None, "a"), (9, "c")], "k int, name string")
+    known = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int")
+    watch = quality.Watch()
+    out = watch.misses(watch.rows(rows, unnamed=F.col("name").isNull()), unknown=(known, {"k": "id"}),
+                       unknown_name=(spark.createDataFrame([("a",)], "n string"), {"name": "n"}))
+    assert out.columns == ["k", "name"] and out.count() == 5
+    assert watch.values() == {"unnamed": 1, "unknown": 2, "unknown_name": 3}
+    some = quality.Watch()
+    some.misses(rows, where=F.col("k") > 2, unknown=(known, {"k": "id"})).collect()
+    assert some.values() == {"unknown": 1}
+
+
+def test_last_per_key(spark, tmp_path, monkeypatch):
+    data = [(1, "b", 5), (1, "a", 7), (2, "z", 1), (None, "n", 3), (None, "m", 2), (1, "c", 6)]
+    frame = spark.createDataFrame(data, "k int, v string, at long")
+    expected = [(1, "a"), (2, "z"), (None, "n")]
+    assert sorted((tuple(r) for r in lookups.last_per_key(frame, "k", position="at").collect()), key=str) == expected
+    frame.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    for limit in (lookups.is_small, lambda df: False):
+        monkeypatch.setattr(lookups, "is_small", limit)
+        df = lookups.last_per_key(stored, "k", position="at")
+        assert sorted((tuple(r) for r in df.collect()), key=str) == expected
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "Sort" not in plan

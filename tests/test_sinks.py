@@ -23,21 +23,26 @@ def stored(spark, folder):
 
 
 def test_overwrite_then_upsert(spark, tmp_path):
-    folder, work = str(tmp_path / "out"), str(tmp_path / "work")
+    folder = str(tmp_path / "out")
     sinks.write_report(trend(spark, (9, "X", "1")), TREND, folder)
     sinks.write_report(trend(spark, (1, "A", "1"), (1, "B", "2"), (2, "A", "3")), TREND, folder)
     assert stored(spark, folder) == [(1, "A", 1.0), (1, "B", 2.0), (2, "A", 3.0)]
-    sinks.upsert_report(trend(spark, (1, "B", "7"), (3, "C", "8")), TREND, folder, work)
+    sinks.upsert_report(trend(spark, (1, "B", "7"), (3, "C", "8")), TREND, folder)
     assert stored(spark, folder) == [(1, "A", 1.0), (1, "B", 7.0), (2, "A", 3.0), (3, "C", 8.0)]
 
 
-def test_upsert_leaves_other_dates_alone(spark, tmp_path):
+def test_late_row_writes_only_itself(spark, tmp_path):
+    """A late row rewrites no date: the base's files stay, and the delta has one row."""
     folder = str(tmp_path / "out")
-    sinks.write_report(trend(spark, (1, "A", "1"), (2, "A", "3")), TREND, folder)
-    before = sorted(p.name for p in (tmp_path / "out" / "bond_deal_trend" / "deal_dt=2020-01-02").iterdir())
-    sinks.upsert_report(trend(spark, (1, "A", "5")), TREND, folder, str(tmp_path / "work"))
-    after = sorted(p.name for p in (tmp_path / "out" / "bond_deal_trend" / "deal_dt=2020-01-02").iterdir())
-    assert before == after
+    sinks.write_report(trend(spark, (1, "A", "1"), (1, "B", "2"), (2, "A", "3")), TREND, folder)
+    table = tmp_path / "out" / "bond_deal_trend"
+    before = {p: p.stat().st_mtime_ns for p in table.rglob("*.parquet")}
+    sinks.upsert_report(trend(spark, (1, "A", "5")), TREND, folder)
+    after = {p: p.stat().st_mtime_ns for p in table.rglob("*.parquet")}
+    assert before.items() <= after.items()
+    new = [str(p) for p in set(after) - set(before)]
+    assert spark.read.parquet(*new).count() == 1 and all("deal_dt=2020-01-01" in p for p in new)
+    assert stored(spark, folder) == [(1, "A", 5.0), (1, "B", 2.0), (2, "A", 3.0)]
 
 
 def test_table_without_date(spark, tmp_path):
@@ -45,7 +50,7 @@ def test_table_without_date(spark, tmp_path):
     df = spark.createDataFrame([("c1", "one"), ("c2", "two")], "bond_cd string, bond_nm string")
     sinks.write_report(df, table, str(tmp_path / "out"))
     late = spark.createDataFrame([("c2", "zwei")], "bond_cd string, bond_nm string")
-    sinks.upsert_report(late, table, str(tmp_path / "out"), str(tmp_path / "work"))
+    sinks.upsert_report(late, table, str(tmp_path / "out"))
     got = sinks.read_report(spark, table, str(tmp_path / "out"))
     assert sorted(tuple(r) for r in got.collect()) == [("c1", "one"), ("c2", "zwei")]
 
@@ -66,7 +71,7 @@ def test_twenty_three_tables():
 
 def test_upsert_into_missing_table(spark, tmp_path):
     folder = str(tmp_path / "out")
-    sinks.upsert_report(trend(spark, (1, "A", "5"), (2, "B", "6")), TREND, folder, str(tmp_path / "work"))
+    sinks.upsert_report(trend(spark, (1, "A", "5"), (2, "B", "6")), TREND, folder)
     assert stored(spark, folder) == [(1, "A", 5.0), (2, "B", 6.0)]
 
 
