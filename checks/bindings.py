@@ -8,6 +8,7 @@ that it differs from the bank flag.
 
 from __future__ import annotations
 
+from dataclasses import fields
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -212,7 +213,7 @@ def trades(t: Tables) -> DataFrame:
 class BoundBondInputs:
     """BondInputs over the test tables; a frame is built when a plan first asks for it."""
 
-    withdrawn = "R"
+    withdrawn, rates = "R", None
 
     def __init__(self, t: Tables):
         self.tables = t
@@ -232,7 +233,7 @@ class BoundBondInputs:
 class BoundRepoInputs:
     """RepoInputs over the test tables, built on demand."""
 
-    withdrawn = "P"
+    withdrawn, profiles = "P", None
     fund_marker = "7"
 
     def __init__(self, t: Tables):
@@ -257,6 +258,11 @@ def repo_inputs(t: Tables) -> RepoInputs:
     return BoundRepoInputs(t)
 
 
+def every_input(bound, kind):
+    """All frames of the bound inputs as ``BondInputs`` or ``RepoInputs``."""
+    return kind(**{field.name: getattr(bound, field.name) for field in fields(kind)})
+
+
 def event_lines(t: Tables) -> DataFrame:
     """Events as comma text: user, event, suffix."""
     return t.events.select(F.concat_ws(",", "user_id", "event_type", "event_id").alias("value"))

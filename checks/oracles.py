@@ -612,6 +612,35 @@ _OPERATORS = {
         FROM (SELECT deal_dt, bond_id, sum(dirty_amnt) AS s FROM v_deal WHERE st <> 'R' GROUP BY ALL) o
         FULL JOIN (SELECT deal_dt, bond_id, sum(dirty_amnt) AS s FROM v_deal
                    WHERE deal_dt >= DATE '2000-01-01' GROUP BY ALL) n USING (deal_dt, bond_id)""",
+    "upsert_deltas": """
+        SELECT deal_dt, CAST(bond_id AS VARCHAR) AS bond_id, CAST(coalesce(r.s, n.s, o.s) AS DOUBLE) AS trd_amnt
+        FROM (SELECT deal_dt, bond_id, sum(dirty_amnt) AS s FROM v_deal WHERE st <> 'R' GROUP BY ALL) o
+        FULL JOIN (SELECT deal_dt, bond_id, sum(dirty_amnt) AS s FROM v_deal
+                   WHERE deal_dt >= DATE '2000-01-01' GROUP BY ALL) n USING (deal_dt, bond_id)
+        FULL JOIN (SELECT deal_dt, bond_id, sum(dirty_amnt) AS s FROM v_deal
+                   WHERE deal_dt >= DATE '2000-01-01' AND st = 'R' GROUP BY ALL) r USING (deal_dt, bond_id)""",
+    "rebuild_versions": """
+        SELECT 1 AS version, deal_dt, CAST(bond_id AS VARCHAR) AS bond_id, CAST(sum(dirty_amnt) AS DOUBLE) AS trd_amnt
+        FROM v_deal GROUP BY ALL
+        UNION ALL
+        SELECT 2, deal_dt, CAST(bond_id AS VARCHAR), CAST(sum(dirty_amnt) AS DOUBLE)
+        FROM v_deal WHERE st = 'R' GROUP BY ALL""",
+    "text_sink": f"""
+        SELECT '(' || word || ',' || CAST(count(*) AS VARCHAR) || ')' AS value
+        FROM ({_WORDS}) w GROUP BY word""",
+    "feed_intake": f"""
+        SELECT chn_full_nm, unq_id_in_src_sys, CAST(NULL AS VARCHAR) AS reason FROM ({_ORG_FIELDS}) f
+        UNION ALL
+        SELECT NULL, NULL, CASE s_suppkey % 7 WHEN 2 THEN 'field count' ELSE 'header tag' END
+        FROM supplier WHERE s_suppkey % 7 IN (2, 3)""",
+    "dictionary_last_line": """
+        SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value
+        FROM events GROUP BY user_id""",
+    "grouping_sets": """
+        SELECT CASE WHEN grouping(repo_uniq) = 0 THEN 'party' WHEN grouping(st) = 0 THEN 'status' ELSE 'product'
+               END AS report, pd_cd, deal_dt, repo_uniq AS repo_pty_id, st, CAST(sum(trade_amnt) AS DOUBLE) AS trade_amnt
+        FROM v_repo GROUP BY GROUPING SETS ((pd_cd, deal_dt), (repo_uniq), (st, pd_cd))""",
+    "market_of_days": _MARKET.format(w=_FILTER, b="1996-03-01", e="1998-08-31"),
     "merge_partial_columns": f"""
         SELECT m.pd_cd, m.deal_dt, m.market_price, m.market_max, b.banks_price
         FROM (SELECT pd_cd, deal_dt, {_q('sum(deal_repo_rate * trade_amnt)', 'sum(trade_amnt)')}
@@ -666,6 +695,9 @@ _OPERATORS = {
 }
 
 
+_OPERATORS["observed_misses"] = _OPERATORS["lookup_miss_counts"]
+
+
 def registered() -> dict[str, str]:
     statements = {**_OPERATORS, **_BOND_REPORTS, **_repo_reports()}
     return {name: _with_views(sql) for name, sql in statements.items()}

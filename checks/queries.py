@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DateType, DecimalType, StringType
 
 from checks import bindings as b
 from checks.bindings import Tables
 from ledgerloom.functions import labels
 from ledgerloom.functions.measures import extremes, ratio, weighted_average
 from ledgerloom.functions.text import parse_date, set_text
+from ledgerloom.jobs.common import write_counters
 from ledgerloom.operators import expansion, merging, quality
+from ledgerloom.operators.grouping import REPORT, regroup
 from ledgerloom.operators.lookups import (
-    drop_listed, enrich, keep_listed, one_per_key, valid_attribute, with_root,
+    drop_listed, enrich, keep_listed, last_per_key, one_per_key, valid_attribute, with_root,
 )
 from ledgerloom.plans import bond, counters, market, repo, words
+from ledgerloom.plans.inputs import BondInputs, RepoInputs
 from ledgerloom.plans.market import MarketQuery
-from ledgerloom.sources import feeds, layouts, loaders
+from ledgerloom.session import shared_folder
+from ledgerloom.sources import feeds, intake, layouts, loaders, sinks
+from ledgerloom.sources.store import BASE, DELTA, Store
+from ledgerloom.sources.tables import AMOUNT, ReportTable
 
 YEAR = MarketQuery(date(1997, 1, 1), date(1997, 12, 31))
 FILTERED = MarketQuery(date(1996, 3, 1), date(1998, 8, 31), player_type="F", bond_type="1-URGENT")
@@ -416,6 +424,108 @@ def upsert_merge(t):
     return merging.upsert(existing, arriving, ["deal_dt", "bond_id"])
 
 
+def _shared(t: Tables, name: str) -> str:
+    """A new folder that driver and executors share."""
+    shared = shared_folder(t.spark, t.spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+DAILY_AMOUNT = ReportTable("DAILY_AMOUNT", ("deal_dt", "bond_id"),
+                           {"deal_dt": DateType(), "bond_id": StringType(), "trd_amnt": AMOUNT})
+
+
+def _published(t: Tables, *parts: tuple[str, DataFrame]) -> Store:
+    """A new store with a version for each part."""
+    store = Store(t.spark, _shared(t, "store"), {DAILY_AMOUNT.name: DAILY_AMOUNT})
+    for kind, rows in parts:
+        store.publish({DAILY_AMOUNT.name: (kind, store.write(rows, DAILY_AMOUNT))})
+    return store
+
+
+@query
+def upsert_deltas(t):
+    """Late rows as deltas over a base, merged on read, and compacted in between."""
+    deals = b.bond_deals(t)
+    late = deals.where(F.col("deal_dt") >= F.lit(LATE))
+    store = _published(t, (BASE, _daily_amounts(deals.where(F.col("st") != "R"))), (DELTA, _daily_amounts(late)))
+    store.compact()
+    store.publish({DAILY_AMOUNT.name: (DELTA, store.write(_daily_amounts(late.where(F.col("st") == "R")), DAILY_AMOUNT))})
+    return store.snapshot().read(DAILY_AMOUNT)
+
+
+@query
+def rebuild_versions(t):
+    """A reader of the first version, and one of the rebuilt table."""
+    deals = b.bond_deals(t)
+    store = _published(t, (BASE, _daily_amounts(deals)))
+    before = store.snapshot()
+    store.publish({DAILY_AMOUNT.name: (BASE, store.write(_daily_amounts(deals.where(F.col("st") == "R")), DAILY_AMOUNT))})
+    return merging.append_families(*[
+        snapshot.read(DAILY_AMOUNT).withColumn("version", F.lit(snapshot.number))
+        for snapshot in (before, store.snapshot())])
+
+
+@query
+def text_sink(t):
+    path = _shared(t, "words")
+    sinks.write_text(words.as_text(words.word_count(words.text_lines(t.documents))), path)
+    return t.spark.read.text(path)
+
+
+@query
+def feed_intake(t):
+    """A feed written as text and taken in again: good rows, and rejects with their reason."""
+    folder = _shared(t, "feed")
+    sinks.write_text(b.org_lines(t), f"{folder}/org.csv")
+    taken = intake.taken_in(t.spark, f"{folder}/org.csv", layouts.BOND_ORG, f"{folder}/staged", header=feeds.TAG)
+    return merging.append_families(
+        taken.rows.select(*layouts.BOND_ORG.columns, F.lit(None).cast("string").alias("reason")),
+        taken.rejects.select(*[F.lit(None).cast("string").alias(c) for c in layouts.BOND_ORG.columns], "reason"))
+
+
+@query
+def dictionary_last_line(t):
+    """Of several lines with a key the last holds."""
+    return last_per_key(t.events.select("user_id", "event_type", "value", "event_id"), "user_id", position="event_id")
+
+
+@query
+def observed_misses(t):
+    """The miss counters, taken while the relations of both jobs are written."""
+    folder = _shared(t, "observed")
+    watch = quality.Watch()
+    bond_in = counters.watch_bond(b.every_input(b.bond_inputs(t), BondInputs), watch)
+    bond_in = replace(bond_in, **{
+        name: sinks.stage(getattr(bond_in, name), f"{folder}/bond_{name}") for name in ("bonds", "members")})
+    bond_in = replace(bond_in, rates=bond.collateral_rate(bond_in.repo_deals, bond_in.collateral))
+    sinks.stage(counters.watch_clean_deals(bond.clean_deals(bond_in), bond_in, watch), f"{folder}/bond_deals")
+    repo_in = counters.watch_repo(b.every_input(b.repo_inputs(t), RepoInputs), watch)
+    repo_in = replace(repo_in, members=sinks.stage(repo_in.members, f"{folder}/repo_members"))
+    sinks.stage(counters.watch_profiles(repo_in.members, repo_in, watch), f"{folder}/profiles")
+    sinks.stage(counters.watch_confirmed(repo.confirmed_deals(repo_in), repo_in, watch), f"{folder}/repo_deals")
+    sinks.stage(counters.watch_collateral(repo_in, watch).collateral, f"{folder}/collateral")
+    write_counters(t.spark, watch.values(), "counter", "misses", f"{folder}/misses")
+    return t.spark.read.parquet(f"{folder}/misses")
+
+
+@query
+def grouping_sets(t):
+    """Amounts by three sets of columns in one pass."""
+    sets = {"product": ["pd_cd", "deal_dt"], "party": ["repo_pty_id"], "status": ["st", "pd_cd"]}
+    return regroup(b.repo_deals(t), sets, ["trade_amnt"]).withColumnRenamed(REPORT, "report")
+
+
+@query
+def market_of_days(t):
+    """The market report from daily totals and bitmaps; dictionary and totals of later days are added."""
+    trades = b.trades(t)
+    early = F.col("deal_dt") < F.lit(date(1997, 1, 1))
+    numbers = market.number_values(trades.where(early))
+    numbers = sinks.stage(market.number_values(trades.where(~early), numbers), _shared(t, "numbers"))
+    bits = merging.append_families(*[market.daily_bitmaps(trades.where(c), numbers) for c in (early, ~early)])
+    return market.market_report_of_days(market.daily_sums(trades), bits, FILTERED)
+
+
 @query
 def merge_partial_columns(t):
     deals = repo.reported_products(b.repo_deals(t))

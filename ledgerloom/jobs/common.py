@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.operators.grouping import REPORT, of_report
 from ledgerloom.operators.quality import Watch
 from ledgerloom.session import shared_folder, tune
 from ledgerloom.sources.feeds import KEPT, read_lines
@@ -63,6 +64,14 @@ class Run:
         """Counters for a job to take as it writes, where the run is to count."""
         return Watch() if self.counts else None
 
+    def write_routed(self, reports: dict, sets: dict, measures: list[str], routed: DataFrame, inputs, name: str) -> None:
+        """Reports from sums that were made in one pass: each reads the rows routed to it."""
+        path = f"{self.work}/{name}"
+        routed.write.partitionBy(REPORT).parquet(path)
+        staged = self.spark.read.schema(routed.schema).parquet(path)
+        for report, build in reports.items():
+            self.write({report: build}, of_report(staged, report, sets[report], measures), inputs)
+
     def write_misses(self, job: str, watch: Watch) -> None:
         write_counters(self.spark, watch.values(), "counter", "misses", f"{self.output}/{job}/lookup_misses")
 

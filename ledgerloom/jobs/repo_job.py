@@ -33,15 +33,14 @@ def write_reports(this_run: common.Run, feed_folder: str) -> None:
     deals = this_run.stage(
         repo.valid_deals(inputs, rating=True, bank_flag=True, line_count=True, confirmed=confirmed), f"{JOB}/deals")
     pledged = repo.pledged_deals(deals)
-    # the fan-out is read once and never stored: six reports regroup its sums
-    lined = counters.watch_collateral(inputs, watch) if watch else inputs
-    line_sums = this_run.stage(
-        repo.summed(repo.line_legs(repo.collateral_lines(deals, lined))), f"{JOB}/line_sums")
-    deal_sums = this_run.stage(repo.summed(repo.pledged_legs(pledged)), f"{JOB}/deal_sums")
     this_run.write(repo.FROM_DEALS, deals, inputs)
     this_run.write(repo.FROM_PLEDGED_DEALS, pledged, inputs)
-    this_run.write(repo.FROM_PLEDGED_LEGS, deal_sums, inputs)
-    this_run.write(repo.FROM_LINE_LEGS, line_sums, inputs)
+    this_run.write_routed(repo.FROM_PLEDGED_LEGS, repo.PLEDGED_SETS, repo.PLEDGED_MEASURES,
+                          repo.pledged_sets(pledged), inputs, f"{JOB}/deal_sets")
+    # the fan-out is read once and never stored: six reports get its sums in one pass
+    lined = counters.watch_collateral(inputs, watch) if watch else inputs
+    this_run.write_routed(repo.FROM_LINE_LEGS, repo.LINE_SETS, repo.LINE_MEASURES,
+                          repo.line_sets(repo.collateral_lines(deals, lined)), inputs, f"{JOB}/line_sets")
     if watch:
         this_run.write_misses(JOB, watch)
 

@@ -7,7 +7,7 @@ join type used here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, GroupedData, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, Window, functions as F
 
 from ledgerloom.session import broadcast_if_small, is_small
 
@@ -81,22 +81,54 @@ def within(day: Column, start: Column, end: Column, closed: str = "both") -> Col
     raise ValueError(f"closed must be 'both' or 'neither', not {closed!r}")
 
 
+# Up to so many boundaries are compared one by one; more are searched by halving.
+FEW_BOUNDS = 8
+# Halving steps for as many days as dates have.
+_STEPS = [1 << i for i in reversed(range(23))]
+
+
+def validity_bounds(dimension: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """(key, _bounds): the days on which a key becomes valid and stops being so, in turn, in order.
+
+    A key is valid strictly inside any of its intervals. An interval opens on the day after its start
+    and closes on its end; openings less closings are summed per key and day, so the sweep sees
+    at most one row for each calendar day of a key, and the array has no more, however many intervals
+    overlap or touch.
+    """
+    spans = dimension.where((F.date_add(start, 1) < F.col(end)) & F.col(key).isNotNull())
+    steps = F.explode(F.array(
+        F.struct(F.date_add(start, 1).alias("day"), F.lit(1).alias("step")),
+        F.struct(F.col(end).cast("date").alias("day"), F.lit(-1).alias("step")))).alias("at")
+    daily = spans.select(key, steps).groupBy(key, F.col("at.day").alias("day")).agg(F.sum("at.step").alias("step"))
+    so_far = Window.partitionBy(key).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = daily.withColumn("open", F.sum("step").over(so_far))
+    turns = swept.where((F.col("open") == 0) != (F.col("open") == F.col("step")))
+    return apart(turns, key).agg(F.sort_array(F.collect_list("day")).alias("_bounds")).drop(APART)
+
+
+def _bounds_before(bounds: Column, day: Column) -> Column:
+    """How many of the ordered bounds are on or before the day."""
+    few = F.size(F.filter(bounds, lambda b: b <= day))
+    halved = F.aggregate(
+        F.lit(_STEPS), F.lit(0),
+        lambda at, step: F.when(F.coalesce(F.get(bounds, at + step - 1) <= day, F.lit(False)), at + step).otherwise(at))
+    return F.when(F.size(bounds) <= FEW_BOUNDS, few).otherwise(halved)
+
+
 def valid_attribute(df: DataFrame, dimension: DataFrame, key: str, day: str, attribute: str,
                     default: str, start: str = "efctv_from_dt", end: str = "efctv_to_dt") -> DataFrame:
-    """Attribute of a key, shown only on days strictly inside one of its intervals.
+    """Attribute of a key, shown only on days strictly inside one of its intervals. Days are dates.
 
-    The intervals of a key are gathered in one array first, so that overlapping
-    intervals do not multiply rows. The array is as long as the key's own history.
+    The intervals of a key become one ordered list of the days on which its validity turns. A row
+    is valid after an odd number of turns, which is found by halving, not by a look at each.
     """
-    by_key = apart(dimension, key).agg(
-        F.min(attribute).alias(attribute),
-        F.collect_set(F.struct(F.col(start).alias("start"), F.col(end).alias("end"))).alias("_spans"),
-    ).drop(APART)
-    joined = df.join(broadcast_if_small(by_key), key, "left")
-    valid = F.exists("_spans", lambda s: within(F.col(day), s["start"], s["end"], "neither"))
+    bounds = validity_bounds(dimension, key, start, end)
+    named = apart(dimension, key).agg(F.min(attribute).alias(attribute)).drop(APART)
+    joined = df.join(broadcast_if_small(named.join(broadcast_if_small(bounds), key)), key, "left")
+    valid = _bounds_before(F.col("_bounds"), F.col(day).cast("date")) % 2 == 1
     return joined.withColumn(
-        attribute, F.when(valid, F.col(attribute)).otherwise(default)
-    ).drop("_spans")
+        attribute, F.when(F.col("_bounds").isNotNull() & valid, F.col(attribute)).otherwise(default)
+    ).drop("_bounds")
 
 
 def one_per_key(dimension: DataFrame, *keys: str) -> DataFrame:

@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.labels import ALL_VALUES
+from ledgerloom.operators.merging import merge_partial_rows
 
 
 @dataclass(frozen=True)
@@ -66,6 +67,83 @@ def market_report(trades: DataFrame, query: MarketQuery) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- totals that add up over days
+
+DAILY_KEYS = ["deal_dt", "org_nm", "player_type", "bond_type"]
+COUNTED = ("org_nm", "bond_id")
+# Parts in which values are numbered, and bits of one of Spark's bitmaps.
+VALUE_PARTS, BITMAP_BITS = 256, 32_768
+
+
+def _named_values(trades: DataFrame, *keys: str) -> DataFrame:
+    """Distinct (keys, attribute, value) of the counted attributes."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("value")) for c in COUNTED])).alias("pair")
+    return trades.select(*keys, pairs).select(*keys, "pair.*").where(F.col("value").isNotNull()).distinct()
+
+
+def number_values(trades: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Dictionary of the counted attributes: attribute, value and its number. Stage the result.
+
+    ``known`` is the dictionary of earlier days; its values keep their numbers, so bitmaps of different
+    days may be united. Values are numbered in 256 parts, which take turns, so no task sees all of them.
+    """
+    fresh = _named_values(trades)
+    if known is not None:
+        fresh = fresh.join(known, ["attribute", "value"], "left_anti")
+    fresh = fresh.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(VALUE_PARTS)))
+    rank = F.row_number().over(Window.partitionBy("attribute", "part").orderBy("value")).cast("bigint") - 1
+    if known is None:
+        return fresh.select("attribute", "value", (rank * VALUE_PARTS + F.col("part")).alias("number"))
+    used = known.groupBy("attribute", F.pmod("number", F.lit(VALUE_PARTS)).alias("part")).agg(
+        (F.max("number") - F.col("part") + VALUE_PARTS).alias("used"))
+    numbered = fresh.withColumn("rank", rank).join(used, ["attribute", "part"], "left").select(
+        "attribute", "value",
+        (F.coalesce("used", F.lit(0)) + F.col("rank") * VALUE_PARTS + F.col("part")).alias("number"))
+    return known.select("attribute", "value", "number").unionAll(numbered)
+
+
+def daily_sums(trades: DataFrame) -> DataFrame:
+    """Amount and number of deals by ``DAILY_KEYS``."""
+    return trades.groupBy(*DAILY_KEYS).agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("deals"))
+
+
+def daily_bitmaps(trades: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The numbered values that a day's trades name, as bitmaps: ``DAILY_KEYS``, attribute, bucket, bits.
+
+    Values are made distinct per day before their numbers are looked up.
+    """
+    numbered = _named_values(trades, *DAILY_KEYS).join(numbers, ["attribute", "value"])
+    return numbered.groupBy(*DAILY_KEYS, "attribute", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+
+
+def market_report_of_days(sums: DataFrame, bitmaps: DataFrame, query: MarketQuery) -> DataFrame:
+    """``market_report`` from the totals of days: bitmaps are united over the range and their bits counted.
+
+    Trades are not read, and nothing is counted by expanding rows. Days are bits as they are: the
+    days since the range began.
+    """
+    wanted = matches(query)
+    at = F.datediff(F.col("deal_dt"), F.lit(query.begin)).cast("bigint")
+
+    def days(condition: Column) -> Column:
+        return F.bitmap_count(F.bitmap_construct_agg(F.when(condition, F.pmod(at, F.lit(BITMAP_BITS)))))
+
+    by_calendar = sums.where(in_range(query)).groupBy(F.floor(at / BITMAP_BITS).alias("bucket")).agg(
+        F.sum(F.when(wanted, F.col("amount"))).alias("trade_amount"),
+        F.sum(F.when(wanted, F.col("deals"))).alias("deal_count"),
+        days(wanted).alias("deal_days"), days(F.lit(True)).alias("work_days"))
+    united = bitmaps.where(in_range(query) & wanted).groupBy("attribute", "bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    counted = [F.sum(F.when(F.col("attribute") == c, F.col("n"))).alias(name)
+               for c, name in zip(COUNTED, ("dealer_count", "bond_count"))]
+    totals = by_calendar.agg(*[F.sum(c).alias(c) for c in ("trade_amount", "deal_count", "deal_days", "work_days")])
+    row = merge_partial_rows([], totals, united.agg(*counted))
+    columns = ("trade_amount", "deal_count", "deal_days", "dealer_count", "bond_count", "work_days")
+    return row.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in columns])
+
+
 def trading_days(trades: DataFrame) -> DataFrame:
     return trades.select("deal_dt").distinct()
 

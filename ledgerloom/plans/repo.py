@@ -15,6 +15,7 @@ from ledgerloom.functions.measures import (
 )
 from ledgerloom.functions.text import set_text
 from ledgerloom.operators import expansion
+from ledgerloom.operators.grouping import regroup
 from ledgerloom.operators.lookups import (
     flag_listed, keep_listed, lookup, one_per_key, with_root, within,
 )
@@ -387,7 +388,8 @@ FROM_DEALS = {
     "CTGRY_PRICE_DEAL_INFO": category_price,
     "GLOBAL_PRICE_DEAL_INFO": global_price,
 }
-# From the legs of pledged deals and of collateral lines, or from their sums.
+# From the legs of pledged deals and of collateral lines, or from their sums by the columns of
+# ``PLEDGED_SETS`` and ``LINE_SETS``.
 FROM_PLEDGED_LEGS = {
     "MEMBER_BOND_RTNG_DEAL_INFO": member_rating,
     "CTGRY_BOND_RTNG_DEAL_INFO": category_rating,
@@ -405,3 +407,38 @@ FROM_LINE_LEGS = {
     "MEMBER_BOND_ISSR_DEAL_INFO": member_issuer,
     "CTGRY_BOND_ISSR_DEAL_INFO": category_issuer,
 }
+
+# ---------------------------------------------------------------- one pass for several reports
+
+_MEMBER_SET, _CATEGORY_SET = ["root_id", "kind", "side"], ["ins_show_name", "side"]
+
+
+def _sets(keys: dict[str, list[str]]) -> dict[str, list[str]]:
+    return {name: (_MEMBER_SET if name.startswith("MEMBER") else _CATEGORY_SET) + own for name, own in keys.items()}
+
+
+PLEDGED_SETS = _sets({
+    "MEMBER_BOND_RTNG_DEAL_INFO": ["rtng_desc", "deal_dt"],
+    "CTGRY_BOND_RTNG_DEAL_INFO": ["rtng_desc", "deal_dt"],
+    "MEMBER_CTGRY_AMOUNT_DEAL_INFO": [_COUNTERPARTY_TYPE, "deal_dt"],
+    "CTGRY_CTGRY_AMOUNT_DEAL_INFO": [_COUNTERPARTY_TYPE, "deal_dt"],
+})
+LINE_SETS = _sets({
+    "MEMBER_BOND_CTGRY_DEAL_INFO": ["bond_ctgry_nm", "deal_dt"],
+    "CTGRY_BOND_CTGRY_DEAL_INFO": ["bond_ctgry_nm", "deal_dt"],
+    "MEMBER_BOND_TYPE_DEAL_INFO": ["bond_ctgry_nm", "rtng_desc", "deal_dt"],
+    "CTGRY_BOND_TYPE_DEAL_INFO": ["bond_ctgry_nm", "rtng_desc", "deal_dt"],
+    "MEMBER_BOND_ISSR_DEAL_INFO": ["issr_nm", "deal_dt"],
+    "CTGRY_BOND_ISSR_DEAL_INFO": ["issr_nm", "deal_dt"],
+})
+PLEDGED_MEASURES, LINE_MEASURES = ["trade_amnt"], ["trade_amnt", "weighted"]
+
+
+def pledged_sets(pledged: DataFrame) -> DataFrame:
+    """The sums of all reports over pledged deals, routed by report: deals are read once."""
+    return regroup(summed(pledged_legs(pledged)), PLEDGED_SETS, PLEDGED_MEASURES)
+
+
+def line_sets(lines: DataFrame) -> DataFrame:
+    """The sums of all reports over collateral lines, routed by report: the fan-out is read once."""
+    return regroup(summed(line_legs(lines)), LINE_SETS, LINE_MEASURES)

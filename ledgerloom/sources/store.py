@@ -65,8 +65,10 @@ class Snapshot:
 
 
 class Store:
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    """A folder with versions of ``tables``, by default those of the reports."""
+
+    def __init__(self, spark: SparkSession, folder: str, tables: dict[str, ReportTable] = REPORT_TABLES):
+        self.spark, self.folder, self.tables = spark, folder.rstrip("/"), tables
 
     # ------------------------------------------------------------ reading
 
@@ -109,7 +111,7 @@ class Store:
         Deltas that arrive meanwhile stay deltas of the new base.
         """
         seen = self.snapshot()
-        folded = {name: (parts, self.write(seen.read(REPORT_TABLES[name]), REPORT_TABLES[name]))
+        folded = {name: (parts, self.write(seen.read(self.tables[name]), self.tables[name]))
                   for name, parts in seen.parts.items() if len(parts) > max(deltas, 1)}
         for _ in range(PUBLISH_ATTEMPTS if folded else 0):
             latest = self.snapshot()
@@ -133,7 +135,7 @@ class Store:
         removed = []
         for number in numbers[:-len(kept)] if kept else []:
             self._remove(self._version_file(number))
-        for table in REPORT_TABLES:
+        for table in self.tables:
             for status in self._list(table.lower()):
                 part = f"{table.lower()}/{status.getPath().getName()}"
                 if part not in named:

@@ -380,4 +380,4 @@ def test_fan_out_is_not_stored(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(common.Run, "close", lambda run: None)
     repo_job.run(spark, write(tmp_path / "in", REPO_FEEDS), str(tmp_path / "out"))
     staged = {p.name for p in (tmp_path / "out" / "_stage").glob("run-*/repo_job/*")}
-    assert staged == {"feeds", "deals", "line_sums", "deal_sums", "inputs", "profiles"}
+    assert staged == {"feeds", "deals", "line_sets", "deal_sets", "inputs", "profiles"}
