@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -18,23 +17,24 @@ WORD_PATTERN = f"[^{SPACES}]+"
 # Rows and bytes of one Arrow batch: bounds what a Python worker holds at once, also where
 # a table has many very long texts.
 BATCH_ROWS = 2000
-BATCH_BYTES = 16 * 1024 * 1024
-
-# Bits of the bitmap that thins a table before a join: 512 KB, whatever the table's size.
-BITMAP_BITS = 1 << 22
+BATCH_BYTES = 4 * 1024 * 1024
 
 _UPPER = bytes(range(65, 91))
 LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 
 
 def configure(spark: SparkSession) -> None:
-    """Bound Arrow batches and let AQE split hot join keys (runtime settings only)."""
+    """Bound Arrow batches, let AQE split hot join keys, and let Spark thin large tables before a join by a
+    Bloom filter of the ids they are joined with (runtime settings only)."""
     for key, value in {
         "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
         "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "16MB",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     }.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -65,34 +65,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def thinned(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose id may be in ``ids``: all that are, and some others.
-
-    Drops most other rows before a join, which must follow.
-    """
-    return df.where(may_be_listed(df, column, ids))
-
-
-def may_be_listed(df: DataFrame, column: str, ids: DataFrame) -> Column:
-    """False only for ids of ``df`` that are surely not in ``ids`` (one column).
+class Scratch:
+    """Staged tables that only one computation reads; ``remove`` deletes them once its result is written."""
 
-    A bitmap of hashed ids, of fixed size, is broadcast. With more ids than it has bits, it is
-    true for all.
-    """
-    slots = F.pmod(F.xxhash64(ids.columns[0]), F.lit(BITMAP_BITS)).cast("long")
-    words = ids.select(slots.alias("slot")).groupBy(F.floor(F.col("slot") / 64).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(64)).cast("int"))).alias("bits"))
-    table = words.toArrow()
-    bitmap = np.zeros(BITMAP_BITS // 64, dtype=np.int64)
-    bitmap[np.asarray(table.column("word"))] = np.asarray(table.column("bits"))
-    handle = df.sparkSession.sparkContext.broadcast(bitmap)
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.tables = spark, run_folder(spark, name), 0
 
-    @F.pandas_udf(T.BooleanType())
-    def listed(slot: pd.Series) -> pd.Series:
-        at = slot.to_numpy()
-        return pd.Series((handle.value[at >> 6] >> (at & 63)) & 1 == 1)
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        """As ``staged``, below the folder of this computation."""
+        path = f"{self.folder}/{self.tables}-{name}"
+        self.tables += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    return listed(F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)).cast("long"))
+    def remove(self, *tables: DataFrame) -> None:
+        """Delete these tables, or all."""
+        for path in [t.inputFiles()[0].rsplit("/", 1)[0] for t in tables if t.inputFiles()] if tables else [self.folder]:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -106,9 +96,25 @@ def count_words(text: Column) -> Column:
 
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with bounded batches."""
+    """``mapInArrow`` with bounded batches; a worker gives its memory back at the end of a task."""
     configure(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    """Return what Arrow and the C library keep for later to the system: workers stay, other tasks follow."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:

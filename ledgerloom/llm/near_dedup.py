@@ -21,10 +21,14 @@
 
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8^6)^48, below 5e-7.
 
-Defined results: a document without words (also null) has an empty set and is linked with
+Defined results of ``groups``: a document without words (also null) has an empty set and is linked with
 nothing; rows without a doc_id are linked with nothing; rows that share a doc_id count as
 one document, whose links are united; an empty table gives an empty result; further columns
-are ignored by ``groups`` and kept by ``deduplicated``.
+are ignored.
+
+``deduplicated`` keeps all columns and judges rows by their texts, whatever type of id they have: of the
+rows that links join, the one with the smallest doc_id stays (rows without one come last, then the first as
+stored), and every row without words. Unlike texts under one doc_id both stay.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerloom.llm import common
 from ledgerloom.llm.hashing import WordHashes
@@ -150,9 +154,9 @@ def _confirm(size: int, percent: int):
 
 # ------------------------------------------------------------------ components
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: common.Scratch) -> DataFrame:
     """(node, root) for every node of the links (a, b) but the roots, its smallest node."""
-    edges = common.staged(
+    edges = scratch.staged(
         links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
         .where(F.col("hi") != F.col("lo")).distinct(), "links")
     before = None
@@ -160,8 +164,9 @@ def components(links: DataFrame) -> DataFrame:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
-        before = state
-        edges = common.staged(_small_star(_large_star(edges)), "links")
+        before, old = state, edges
+        edges = scratch.staged(_small_star(_large_star(edges)), "links")
+        scratch.remove(old)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -225,9 +230,9 @@ def _stars(marked: DataFrame, percent: int) -> DataFrame:
         F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    pairs = common.staged(pairs, "pairs")
-    texts = common.thinned(texts, "node", pairs.select(F.explode(F.array("a", "b")).alias("node")))
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratch: common.Scratch) -> DataFrame:
+    # the predicate holds for all pairs; Spark thins the texts by a Bloom filter only where it sees one
+    pairs = scratch.staged(pairs, "pairs").where("a < b")
     one = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = one.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     return common.map_batches(both.select("a", "b", "text_a", "text_b"), _confirm(size, percent), "a long, b long")
@@ -246,17 +251,17 @@ def _sets(size: int):
     return run
 
 
-def _blocks(large: DataFrame) -> DataFrame:
+def _blocks(large: DataFrame, scratch: common.Scratch) -> DataFrame:
     """(family, fringe_block, member_block, is_fringe, node, root): who meets whom.
 
     ``large``: (bucket, node, root) of large unresolved buckets. A fringe member goes to all
     member blocks of its own fringe block, a member to all fringe blocks.
     """
     first = apart(large, "bucket").agg(F.min("node").alias("a")).drop(APART)
-    families = components(large.join(first, "bucket").select("a", F.col("node").alias("b")))
+    families = components(large.join(first, "bucket").select("a", F.col("node").alias("b")), scratch)
     nodes = large.select("node", "root").distinct().join(
         families.withColumnRenamed("root", "family"), "node", "left").withColumn("family", F.coalesce("family", "node"))
-    nodes = common.staged(nodes, "families")
+    nodes = scratch.staged(nodes, "families")
     parts = nodes.groupBy("family", "root").agg(F.count("*").alias("size"))
     sizes = apart(parts, "family").agg(
         F.sum("size").alias("members"), F.max("size").alias("largest"), F.max_by("root", "size").alias("main")).drop(APART)
@@ -302,11 +307,10 @@ def _meet(percent: int):
     return run
 
 
-def _family_links(large: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    placed = common.staged(_blocks(large), "blocks")
-    listed = placed.select("node").distinct()
-    own = common.thinned(texts, "node", listed).join(listed, "node", "left_semi")
-    sets = common.map_batches(own.select("node", "text"), _sets(size), "node long, shingles binary")
+def _family_links(large: DataFrame, texts: DataFrame, size: int, percent: int, scratch: common.Scratch) -> DataFrame:
+    placed = scratch.staged(_blocks(large, scratch), "blocks")
+    listed = scratch.staged(placed.select("node", F.lit(1).alias("listed")).distinct(), "listed").where("listed > 0")
+    sets = common.map_batches(texts.join(listed, "node").select("node", "text"), _sets(size), "node long, shingles binary")
     met = placed.join(sets, "node").groupBy("family", "fringe_block", "member_block").applyInArrow(
         _meet(percent), "a long, b long")
     return met.distinct()
@@ -318,34 +322,36 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, percent: int = THRE
            bins: int = BINS, bands: int = BANDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least doc_id linked), kept."""
     common.configure(docs.sparkSession)
+    scratch = common.Scratch(docs.sparkSession, "near-dedup")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = common.staged(common.map_batches(texts, _sign(shingle, bins, bands), SIGNED), "signed")
+    signed = scratch.staged(common.map_batches(texts, _sign(shingle, bins, bands), SIGNED), "signed")
     named = signed.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
-    classes = common.staged(named.groupBy("class").agg(F.min("doc_id").alias("node")), "classes")
+    classes = scratch.staged(named.groupBy("class").agg(F.min("doc_id").alias("node")), "classes")
     # rows that share a doc_id are one document: tie their classes together
     repeated = named.join(classes, "class").groupBy("doc_id").agg(
         F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("a", "b")
-    members = common.staged(_bucket_members(signed, classes), "buckets")
-    in_buckets = members.select(F.col("node").alias("doc_id")).distinct()
-    held = common.staged(
-        common.thinned(texts, "doc_id", in_buckets).join(in_buckets, "doc_id", "left_semi")
-        .select(F.col("doc_id").alias("node"), "text"), "texts")
-
-    marked = common.staged(_centres(members.withColumn("root", F.col("node")), 1), "centres")
-    roots = components(repeated.unionByName(_confirmed(_stars(marked, percent), held, shingle, percent)))
+    members = scratch.staged(_bucket_members(signed, classes), "buckets")
+    in_buckets = scratch.staged(members.groupBy("node").agg(F.max("n").alias("n")), "listed").where("n > 0")
+    held = scratch.staged(
+        texts.withColumnRenamed("doc_id", "node").join(in_buckets.select("node"), "node").select("node", "text"), "texts")
+
+    marked = scratch.staged(_centres(members.withColumn("root", F.col("node")), 1), "centres")
+    roots = components(
+        repeated.unionByName(_confirmed(_stars(marked, percent), held, shingle, percent, scratch)), scratch)
     as_links = lambda known: known.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    left = common.staged(_centres(_labelled(marked.where(~F.col("is_centre")).select("bucket", "node", "n"), roots),
-                                  CENTRE_GROWTH), "centres")
+    left = scratch.staged(_centres(_labelled(marked.where(~F.col("is_centre")).select("bucket", "node", "n"), roots),
+                                   CENTRE_GROWTH), "centres")
     large = left.where(F.col("in_bucket") > SMALL_BUCKET)
     if not large.isEmpty():
         roots = components(as_links(roots).unionByName(
-            _family_links(large.select("bucket", "node", "root"), held, shingle, percent)))
+            _family_links(large.select("bucket", "node", "root"), held, shingle, percent, scratch)), scratch)
     members, number = left.where(F.col("in_bucket") <= SMALL_BUCKET).select("bucket", "node", "n"), CENTRE_GROWTH
     while True:
-        marked = common.staged(_centres(_labelled(members, roots), number), "centres")
+        marked = scratch.staged(_centres(_labelled(members, roots), number), "centres")
         if marked.isEmpty():
             break
-        roots = components(as_links(roots).unionByName(_confirmed(_stars(marked, percent), held, shingle, percent)))
+        roots = components(as_links(roots).unionByName(
+            _confirmed(_stars(marked, percent), held, shingle, percent, scratch)), scratch)
         members, number = marked.where(~F.col("is_centre")).select("bucket", "node", "n"), number * CENTRE_GROWTH
 
     labelled = _labelled(classes, roots).select("class", "root")
@@ -353,28 +359,42 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, percent: int = THRE
     component = F.least("doc_id", "root")
     out = signed.select("doc_id", "n_shingles", "class").join(by_class, "class", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
-    return out.withColumn("kept", kept())
+    rated = common.staged(out.withColumn("kept", kept()), "groups")
+    scratch.remove()
+    return rated
 
 
 def kept() -> Column:
     return F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))
 
 
+def _own_ids(docs: DataFrame) -> bool:
+    """Is the doc_id a whole number that no two rows share? Reads the ids alone."""
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        return False
+    by_id = docs.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    return by_id.where(F.col("doc_id").isNull() | (F.col("rows") > 1)).isEmpty()
+
+
 def deduplicated(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT,
                  bins: int = BINS, bands: int = BANDS) -> DataFrame:
-    """The documents with one of each group: its smallest doc_id, and of repeats one row.
+    """The documents with one of each group: its smallest doc_id. Rows without words stay.
 
-    Rows without a doc_id or without words stay, but for repeated doc_ids.
+    Where ids do not tell rows apart, rows are numbered in a staged copy first.
     """
-    rated = common.staged(groups(docs, shingle=shingle, percent=percent, bins=bins, bands=bands), "groups")
-    by_id = rated.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.bool_and("kept").alias("stays"), F.count("*").alias("rows"))
-    doubtful = common.staged(by_id.where("not stays or rows > 1"), "doubtful")
-    # a text whose id is surely not among them needs no join, and so no shuffle
-    maybe = common.may_be_listed(docs, "doc_id", doubtful.select("doc_id"))
-    clear = docs.where(~maybe)
-    rest = docs.where(maybe)
-    stays = rest.join(doubtful.select("doc_id"), "doc_id", "left_anti")
-    again = rest.join(doubtful.where("stays").select("doc_id"), "doc_id", "left_semi")
-    return clear.unionByName(stays.select(docs.columns)).unionByName(
-        again.select(docs.columns).dropDuplicates(["doc_id"]))
+    columns, row = docs.columns, "_row"
+    while row in columns:
+        row += "_"
+    own = _own_ids(docs)
+    rows = docs.withColumn(row, F.col("doc_id").cast("long")) if own else common.staged(
+        docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    rated = groups(rows.select(F.col(row).alias("doc_id"), "text"), shingle=shingle, percent=percent, bins=bins, bands=bands)
+    if own:
+        dropped = rated.where(~F.col("kept")).select(F.col("doc_id").alias(row))
+    else:
+        linked = rated.where(F.col("n_shingles") > 0).select(F.col("doc_id").alias(row), F.col("component_id").alias("_group"))
+        order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", row)
+        ranked = linked.join(rows.select(row, order.alias("_order")), row)
+        first = apart(ranked, "_group").agg(F.min("_order").alias("_first")).drop(APART)
+        dropped = ranked.join(first, "_group").where(F.col("_order") != F.col("_first")).select(row)
+    return rows.join(common.staged(dropped, "dropped"), row, "left_anti").select(*columns)

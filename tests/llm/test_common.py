@@ -1,22 +1,19 @@
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import common
 
 
-def test_thinned_keeps_every_listed_row(spark):
-    rows = spark.range(20_000).select(F.col("id").alias("k"), F.lit("t").alias("text"))
-    ids = spark.range(0, 20_000, 37).select(F.col("id").alias("any_name"))
-    kept = common.thinned(rows, "k", ids)
-    assert kept.columns == rows.columns
-    assert kept.join(ids, F.col("k") == F.col("any_name"), "left_semi").count() == ids.count()
-    assert kept.count() < 1000
-    assert common.thinned(rows, "k", ids.limit(0)).count() == 0
-
-
-def test_thinned_with_more_ids_than_bits(spark, monkeypatch):
-    monkeypatch.setattr(common, "BITMAP_BITS", 64)
-    rows = spark.range(500).select(F.col("id").alias("k"))
-    assert common.thinned(rows, "k", rows).count() == 500
+def test_scratch_is_removed(spark):
+    scratch = common.Scratch(spark, "scratch")
+    first, second = scratch.staged(spark.range(5), "a"), scratch.staged(spark.range(7), "b")
+    assert (first.count(), second.count()) == (5, 7)
+    folder = Path(scratch.folder.removeprefix("file:"))
+    scratch.remove(first)
+    assert [p.name for p in folder.iterdir()] == ["1-b"] and second.count() == 7
+    scratch.remove()
+    assert not folder.exists()
 
 
 def test_staged_tables_lie_in_the_shared_folder(spark):

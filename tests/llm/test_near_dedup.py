@@ -1,9 +1,10 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from ledgerloom.llm import near_dedup as nd
+from ledgerloom.llm import common, near_dedup as nd
 
 DOCS = "doc_id long, text string, source string, component_id string, node int"
 
@@ -92,7 +93,40 @@ def test_removal(spark):
     docs = frame(spark, [(5, text), (3, text), (3, text), (9, "alone"), (None, text), (None, None), (7, None), (8, "")])
     kept = nd.deduplicated(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id if r.doc_id is not None else -1) for r in kept.collect()) == [-1, -1, 3, 7, 8, 9]
+    assert sorted(((r.doc_id if r.doc_id is not None else -1), r.text or "") for r in kept.collect()) == [
+        (-1, ""), (3, text), (7, ""), (8, ""), (9, "alone")]
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "string", "smallint", "decimal(20,0)"])
+def test_removal_with_any_type_of_id(spark, kind):
+    text = " ".join(f"u{i}" for i in range(30))
+    docs = frame(spark, [(1, text), (2, text), (3, text), (4, "other words here")])
+    docs = docs.withColumn("doc_id", docs["doc_id"].cast(kind))
+    assert sorted(int(r.doc_id) for r in nd.deduplicated(docs).collect()) == [1, 4]
+
+
+def test_unlike_texts_under_one_id_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    near = a + " tail"
+    docs = frame(spark, [(1, a), (1, b), (2, near), (2, b), (2, c), (None, c), (3, "")]).repartition(4)
+    for partitions in (1, 4):
+        kept = nd.deduplicated(docs.repartition(partitions))
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, a), (1, b), (2, c), (3, "")]
+
+
+def test_columns_with_the_names_used_inside(spark):
+    text = " ".join(f"u{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text, 5, "x"), (1, text, 6, "y"), (2, "one", 7, "z")],
+                                 "doc_id long, text string, _row int, component_id string")
+    kept = nd.deduplicated(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
+def test_scratch_tables_are_removed(spark):
+    shared = Path(common.shared_folder(spark).removeprefix("file:"))
+    before = set(shared.glob("near-dedup-*"))
+    nd.groups(frame(spark, [(1, "a b c"), (2, "a b c")])).collect()
+    assert set(shared.glob("near-dedup-*")) == before
 
 
 def test_repeated_ids_unite(spark):
