@@ -28,7 +28,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.llm import common
-from ledgerloom.llm.spans import let, spans
+from ledgerloom.llm.spans import first_behind, let, spans
 
 KINDS = ("email", "ip", "card", "phone")
 ACCEPT = 0.5
@@ -223,12 +223,33 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     place = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
     base = F.transform(F.filter("_candidates", lambda x: x["base"]), place)
     accepted = (lambda x: ~x["base"] & (_probability(x, model) >= ACCEPT)) if model else (lambda x: F.lit(False))
-    rated = rated.withColumn("base", base).withColumn("_more", F.array_sort(
-        F.transform(F.filter("_candidates", accepted), place)))
-    meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    free = F.filter("_more", lambda x, i: ~F.exists("base", lambda b: meets(x, b))
-                    & ~F.exists(F.slice("_more", 1, i), lambda b: meets(x, b)))
-    return rated.withColumn("added", free).drop("_candidates", "_more")
+    # the matches of one pattern are in order and do not overlap: a lane
+    sourced = lambda x: F.struct(*(x[c].alias(c) for c in ("kind", "start", "end")), (x["format"] == 0).alias("further"))
+    rated = rated.withColumn("base", base).withColumn(
+        "_more", F.array_sort(F.transform(F.filter("_candidates", accepted), sourced)))
+    lanes = {(kind, further): f"_lane{kind}{further:d}" for kind in range(len(KINDS)) for further in (False, True)}
+    rated = rated.withColumns({f"_base{kind}": F.filter("base", lambda x: x["kind"] == kind) for kind in range(len(KINDS))})
+    rated = rated.withColumns({name: F.filter("_more", lambda x: (x["kind"] == kind) & (x["further"] == further))
+                               for (kind, further), name in lanes.items()})
+
+    def meets(lane: str, x: Column) -> Column:
+        return F.coalesce(first_behind(F.col(lane), x["start"])["start"] < x["end"], F.lit(False))
+
+    def meets_earlier(lane: str, x: Column) -> Column:
+        """Is there a span in the other lane of the kind that meets x and comes before it?"""
+        return F.coalesce(let(first_behind(F.col(lane), x["start"]),
+                              lambda y: (y["start"] < x["end"]) & (y < x)), F.lit(False))
+
+    def is_free(x: Column) -> Column:
+        taken = [meets(f"_base{kind}", x) for kind in range(len(KINDS))]
+        taken += [(x["kind"] > kind) & meets(name, x) for (kind, _), name in lanes.items()]
+        taken += [(x["kind"] == kind) & (x["further"] != further) & meets_earlier(name, x)
+                  for (kind, further), name in lanes.items()]
+        return ~reduce(lambda a, b: a | b, taken)
+
+    free = F.transform(F.filter("_more", is_free), place)
+    return rated.withColumn("added", free).drop(
+        "_candidates", "_more", *lanes.values(), *(f"_base{kind}" for kind in range(len(KINDS))))
 
 
 def joined(found: Column) -> Column:

@@ -60,3 +60,17 @@ def spans(text: Column, pattern: str) -> Column:
 
     return let(let(found, sized), lambda items: let(
         F.struct(items.alias("items"), block_starts(items).alias("starts")), placed))
+
+
+# Up to so many places are compared one by one; more are searched by halving.
+FEW = 8
+_STEPS = [1 << i for i in reversed(range(24))]
+
+
+def first_behind(places: Column, start: Column) -> Column:
+    """Of structs (start, end) that are in order and do not overlap, the first that ends behind ``start``."""
+    few = F.size(F.filter(places, lambda x: x["end"] <= start))
+    halved = F.aggregate(
+        F.lit(_STEPS), F.lit(0), lambda at, step: F.when(
+            F.coalesce(F.get(places, at + step - 1)["end"] <= start, F.lit(False)), at + step).otherwise(at))
+    return F.get(places, F.when(F.size(places) <= FEW, few).otherwise(halved))
