@@ -75,14 +75,14 @@ def is_small(reference: DataFrame) -> bool:
     return input_bytes(reference) <= BROADCAST_LIMIT and input_rows(reference) <= BROADCAST_ROWS
 
 
-_ROWS: dict[tuple[str, ...], int] = {}
+_ROWS: dict[tuple, int] = {}
 
 
 def input_rows(df: DataFrame) -> int:
     """Rows in the files that a frame is computed from; only asked for files of few bytes.
 
     Parquet files are counted from their footers, text files by their lines. A file list is
-    counted once; tables that are rewritten have new files.
+    counted once, as long as the files keep their size and time.
     """
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     total = 0
@@ -93,14 +93,27 @@ def input_rows(df: DataFrame) -> int:
         relation = leaf.relation()
         kind = relation.fileFormat().toString().lower()
         files = tuple(relation.location().inputFiles())
-        if files and (kind, *files) not in _ROWS:
+        if not files:
+            continue
+        key = (kind, *_states(df.sparkSession, files))
+        if key not in _ROWS:
             reader = df.sparkSession.read
             frame = reader.parquet(*files) if kind == "parquet" else reader.text(list(files))
-            _ROWS[(kind, *files)] = frame.count()
-        total += _ROWS.get((kind, *files), 0)
+            _ROWS[key] = frame.count()
+        total += _ROWS[key]
     return total
 
 
+def _states(spark: SparkSession, files: tuple[str, ...]) -> list[tuple[str, int, int]]:
+    """Name, size and time of each file. Asked only for the few files of a table that may be broadcast."""
+    found = []
+    for name in files:
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+        found.append((name, status.getLen(), status.getModificationTime()))
+    return found
+
+
 def shared_folder(spark: SparkSession, fallback: str) -> str:
     """Folder for staged tables: the cluster's checkpoint folder where it names one."""
     return spark.conf.get("spark.checkpoint.dir", None) or fallback

@@ -81,6 +81,15 @@ def test_small_file_of_many_rows_is_not_broadcast(spark, tmp_path, monkeypatch):
     assert session.input_rows(spark.read.text(str(tmp_path / "lines"))) == 3
 
 
+def test_replaced_feed_is_counted_again(spark, tmp_path):
+    """A file of the same name with other content has its own number of rows."""
+    feed = tmp_path / "a b%.csv"
+    feed.write_text("x\n" * 3)
+    assert session.input_rows(spark.read.text(str(feed))) == 3
+    feed.write_text("x\n" * 7)
+    assert session.input_rows(spark.read.text(str(feed))) == 7
+
+
 def test_deals_stay_distributed_by_deal(spark, sf_small, settings, monkeypatch):
     """Shuffle joins on the deal key share one exchange of the line items."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
