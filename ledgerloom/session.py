@@ -95,22 +95,23 @@ def input_rows(df: DataFrame) -> int:
         files = tuple(relation.location().inputFiles())
         if not files:
             continue
-        key = (kind, *_states(df.sparkSession, files))
+        states = _states(df.sparkSession, files)
+        key = (kind, *states)
         if key not in _ROWS:
-            reader = df.sparkSession.read
-            frame = reader.parquet(*files) if kind == "parquet" else reader.text(list(files))
+            reader, paths = df.sparkSession.read, [path for path, _, _ in states]
+            frame = reader.parquet(*paths) if kind == "parquet" else reader.text(paths)
             _ROWS[key] = frame.count()
         total += _ROWS[key]
     return total
 
 
 def _states(spark: SparkSession, files: tuple[str, ...]) -> list[tuple[str, int, int]]:
-    """Name, size and time of each file. Asked only for the few files of a table that may be broadcast."""
+    """Path, size and time of each file. Asked only for the few files of a table that may be broadcast."""
     found = []
     for name in files:
         place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
         status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
-        found.append((name, status.getLen(), status.getModificationTime()))
+        found.append((place.toString(), status.getLen(), status.getModificationTime()))
     return found
 
 
