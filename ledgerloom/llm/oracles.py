@@ -49,24 +49,9 @@ FROM reach JOIN documents ON documents.doc_id = reach.a LEFT JOIN n USING (doc_i
 GROUP BY doc_id, n
 """
 
-def _op7_pass(number: int) -> str:
-    """One run over the keys behind the last cut, among the documents that fit by themselves."""
-    return f"""
-c{number} AS (
-  SELECT k.source, k.key, s.budget,
-         sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key) AS run
-  FROM keyed k JOIN s{number} s ON k.source IS NOT DISTINCT FROM s.source
-  WHERE k.key > s.floor AND k.size <= s.budget),
-f{number} AS (
-  SELECT source, min(key) FILTER (run > budget) AS cut, max(run) FILTER (run <= budget) AS used FROM c{number} GROUP BY source),
-s{number + 1} AS (
-  SELECT s.source, s.budget - coalesce(used, 0) AS budget, coalesce(cut, 'inf'::DOUBLE) AS floor,
-         s.floor AS from_{number}, s.budget AS most_{number}
-  FROM s{number} s LEFT JOIN f{number} f ON s.source IS NOT DISTINCT FROM f.source)"""
-
 
 OP7 = rf"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(length(text), 0) AS chars, coalesce(len(regexp_extract_all(text, '{SPACED_WORDS}')), 0) AS size,
          coalesce(length(text) - length(translate(text, '#$%&*|', '')), 0) AS marks, text IS NULL AS empty
   FROM documents),
@@ -91,17 +76,18 @@ units AS (
   FROM filled),
 chosen AS (SELECT unit FROM units WHERE unit IS NOT NULL AND unit <= following ORDER BY k LIMIT 1),
 planned AS (SELECT source, size, least(unit * weight, (size * 3)::DOUBLE) AS target FROM weighted, chosen),
-s1 AS (
-  SELECT source, CASE WHEN size > 0 THEN target - floor(target / size) * size ELSE target END AS budget, -1.0::DOUBLE AS floor
-  FROM planned),{','.join(_op7_pass(n) for n in (1, 2, 3))}
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY key, doc_id) AS r FROM keyed),
+walk AS (
+  SELECT source, 0::BIGINT AS r, CASE WHEN size > 0 THEN target - floor(target / size) * size ELSE target END AS budget,
+         0 AS drawn FROM planned
+  UNION ALL
+  SELECT w.source, k.r, CASE WHEN k.size <= w.budget THEN w.budget - k.size ELSE w.budget END,
+         CASE WHEN k.size <= w.budget THEN 1 ELSE 0 END
+  FROM walk w JOIN ranked k ON k.source IS NOT DISTINCT FROM w.source AND k.r = w.r + 1)
 SELECT k.doc_id, k.size, p.size::BIGINT AS source_size, p.target,
-       (k.size * (CASE WHEN p.size > 0 THEN floor(p.target / p.size) ELSE 0 END + CASE WHEN
-         (k.key > s2.from_1 AND k.key < s2.floor AND k.size <= s2.most_1)
-         OR (k.key > s3.from_2 AND k.key < s3.floor AND k.size <= s3.most_2)
-         OR (k.key > s4.from_3 AND k.key < s4.floor AND k.size <= s4.most_3) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM keyed k JOIN planned p ON k.source IS NOT DISTINCT FROM p.source
-JOIN s2 ON k.source IS NOT DISTINCT FROM s2.source JOIN s3 ON k.source IS NOT DISTINCT FROM s3.source
-JOIN s4 ON k.source IS NOT DISTINCT FROM s4.source
+       (k.size * least(CASE WHEN p.size > 0 THEN floor(p.target / p.size) ELSE 0 END + w.drawn, 3))::BIGINT AS taken
+FROM ranked k JOIN planned p ON k.source IS NOT DISTINCT FROM p.source
+JOIN walk w ON k.source IS NOT DISTINCT FROM w.source AND k.r = w.r
 """
 
 OP13 = r"""
