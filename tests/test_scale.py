@@ -203,6 +203,40 @@ def test_tune_raises_partitions_only(spark, settings):
     assert session.shuffle_partitions(100 * 2**40) == session.MAX_SHUFFLE_PARTITIONS
 
 
+def test_shuffles_are_cut_finer_than_scans(spark, settings, tmp_path):
+    """Rows take many times the bytes of the files they come from, and a task may hold a whole partition's."""
+    settings(spark__sql__shuffle__partitions="2", spark__sql__adaptive__advisoryPartitionSizeInBytes="64MB")
+    spark.range(500_000, numPartitions=1).select(F.rand(1).alias("a"), F.rand(2).alias("b")).write.parquet(
+        str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    session.tune(spark, *[rows] * 8)
+    merged = session.byte_size(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+    assert merged == 8 * 2**20
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 8 * session.input_bytes(rows) / merged
+
+
+def test_tune_lowers_the_merged_size_only(spark, settings):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="1m")
+    session.tune(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "1m"
+    assert [session.byte_size(x) for x in ("7", "7b", "2k", "64MB", "1g", "67108864b")] == [
+        7, 7, 2048, 64 * 2**20, 2**30, 2**26]
+
+
+@pytest.mark.parametrize("name", ["distinct_deals", "m02_bond_bsc_info", "m19_member_bond_issr"])
+def test_reports_read_small_partitions(spark, settings, sf_small, name):
+    """Tasks that join and group the deals hold rows of some 8 MB of shuffled blocks, not of 64 MB."""
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="64MB")
+    QUERIES[name](spark, sf_small)
+    assert session.byte_size(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) == 8 * 2**20
+
+
+def test_misses_read_the_deals_once(spark, sf_small):
+    """All counters over bond deals come from one scan; the collateral and its daily rates are two more."""
+    plan = physical(QUERIES["lookup_miss_counts"](spark, sf_small))
+    assert len(re.findall(r"FileScan parquet \[l_", plan)) == 3
+
+
 def test_input_bytes_add_up(spark, sf_small):
     tables = bindings.Tables(spark, sf_small)
     one = session.input_bytes(tables.customer)
