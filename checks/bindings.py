@@ -129,24 +129,29 @@ def bond_deals(t: Tables) -> DataFrame:
     # the buyer joins the orders first: line items are shuffled once, by order
     buyers = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "c_nationkey")
-    deals = t.lineitem.join(
-        broadcast_if_small(buyers), F.col("l_orderkey") == F.col("o_orderkey"))
-    return deals.select(
+    # and as narrow as the deals are, since all of them travel
+    deals = t.lineitem.select(
         F.col("l_orderkey").alias("bond_deal_id"),
-        F.col("l_orderkey").alias("deal_nmbr"),
-        F.col("c_nationkey").alias("buyer_id"),
         (F.col("l_partkey") % 25).cast("int").alias("seller_id"),
         F.col("l_suppkey").alias("bond_id"),
         first_day("quarter", "l_shipdate").alias("deal_dt"),
         F.col("l_returnflag").alias("st"),
-        F.lit("CNY").alias("instmt_crncy"),
         F.col("l_linenumber").alias("trdng_mthd_id"),
-        (F.col("l_linenumber") * 2).cast("decimal(9,2)").alias("yr_of_time_to_mrty"),
         decimal("l_extendedprice", 18, 2).alias("dirty_amnt"),
         decimal("l_quantity", 18, 2).alias("face_amnt"),
         decimal("l_discount", 9, 4).alias("ytm_rate"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
         .alias("trade_amnt"),
+    ).join(broadcast_if_small(buyers), F.col("bond_deal_id") == F.col("o_orderkey"))
+    return deals.select(
+        "bond_deal_id",
+        F.col("bond_deal_id").alias("deal_nmbr"),
+        F.col("c_nationkey").alias("buyer_id"),
+        "seller_id", "bond_id", "deal_dt", "st",
+        F.lit("CNY").alias("instmt_crncy"),
+        "trdng_mthd_id",
+        (F.col("trdng_mthd_id") * 2).cast("decimal(9,2)").alias("yr_of_time_to_mrty"),
+        "dirty_amnt", "face_amnt", "ytm_rate", "trade_amnt",
     )
 
 

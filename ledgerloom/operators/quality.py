@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from ledgerloom.operators.grouping import REPORT, regroup
 from ledgerloom.session import broadcast_if_small
 
 
@@ -37,6 +38,37 @@ def miss_report(counters: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
+def misses_at_once(rows: DataFrame, counted: Column, lookups: dict[str, tuple[DataFrame, dict[str, str]]],
+                   conditions: dict[str, Column]) -> DataFrame:
+    """Several counters over one relation, which is read once: (counter, misses).
+
+    Of the ``counted`` rows those without an entry in each dimension, and of all rows those that meet
+    each condition. Rows are counted per key of every lookup in one aggregation; only these counts meet
+    the dimensions. The lookups need different columns.
+    """
+    numbers = {f"_n{i}": condition for i, condition in enumerate([counted, *conditions.values()])}
+    columns = list(dict.fromkeys(c for _, keys in lookups.values() for c in keys))
+    marked = regroup(
+        rows.select(*columns, *[F.when(c, 1).otherwise(0).alias(n) for n, c in numbers.items()]),
+        {name: list(keys) for name, (_, keys) in lookups.items()}, list(numbers))
+    for name, (dimension, keys) in lookups.items():
+        renamed = {c: f"_{name}_{c}" for c in keys}
+        known = dimension.select(*[F.col(d).alias(renamed[c]) for c, d in keys.items()]).distinct().withColumn(
+            f"_{name}", F.lit(True))
+        same = reduce(lambda a, b: a & b, [F.col(c) == F.col(new) for c, new in renamed.items()])
+        marked = marked.join(broadcast_if_small(known), same & (F.col(REPORT) == name), "left").drop(*renamed.values())
+
+    def total(number, where):
+        return F.coalesce(F.sum(F.when(where, F.col(number))), F.lit(0).cast("bigint"))
+
+    first = F.col(REPORT) == next(iter(lookups))        # its groups hold each row once
+    sums = marked.agg(
+        *[total("_n0", (F.col(REPORT) == name) & F.col(f"_{name}").isNull()).alias(name) for name in lookups],
+        *[total(number, first).alias(name) for name, number in zip(conditions, list(numbers)[1:])])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("counter"), F.col(name).alias("misses")) for name in sums.columns])))
+
+
 class Watch:
     """Counters taken while a run writes its relations, without a job of their own.
 

@@ -36,12 +36,14 @@ def clean_deals(inputs: BondInputs) -> DataFrame:
     Dropped are withdrawn deals (status compared as text), other currencies, deals
     without a valid date and deals on the removal list.
     """
+    return drop_listed(inputs.deals.where(is_kept(inputs)), inputs.removed, "bond_deal_id", "deal_id")
+
+
+def is_kept(inputs: BondInputs) -> Column:
+    """Is a deal clean, apart from the removal list?"""
     currency = F.col("instmt_crncy")
-    deals = inputs.deals.where(
-        (F.col("st") != inputs.withdrawn) & (currency.contains("CNY") | currency.contains("-"))
-        & F.col("deal_dt").isNotNull()
-    )
-    return drop_listed(deals, inputs.removed, "bond_deal_id", "deal_id")
+    return ((F.col("st") != inputs.withdrawn) & (currency.contains("CNY") | currency.contains("-"))
+            & F.col("deal_dt").isNotNull())
 
 
 def with_strategy(deals: DataFrame, inputs: BondInputs) -> DataFrame:

@@ -11,30 +11,33 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import labels
-from ledgerloom.operators.quality import Watch, miss_report, misses
+from ledgerloom.operators.lookups import flag_listed
+from ledgerloom.operators.quality import Watch, miss_report, misses, misses_at_once
 from ledgerloom.plans import bond, repo
 from ledgerloom.plans.inputs import BondInputs, RepoInputs
 
 
 def bond_misses(inputs: BondInputs) -> DataFrame:
-    """Misses of the bond job; each party of a deal counts for itself."""
-    deals = bond.clean_deals(inputs)
+    """Misses of the bond job; each party of a deal counts for itself. Deals are read once."""
+    marked = flag_listed(inputs.deals, inputs.removed, "bond_deal_id", "_removed", "deal_id")
+    marked = flag_listed(marked, inputs.strategies, "deal_nmbr", "_labelled")
+    clean = F.coalesce(bond.is_kept(inputs), F.lit(False)) & ~F.col("_removed")
     rates = bond.collateral_rate(inputs.repo_deals, inputs.collateral)
     return miss_report({
         "bond_custodian": misses(inputs.bonds, inputs.orgs, {"cstdtn_bank_id": "unq_id"}),
         "institution_type": _unlabelled(inputs.members, "ins_show_name"),
-        "deal_date": _empty(inputs.deals, "deal_dt"),
-        "deal_amount": _empty(inputs.deals, "trade_amnt"),
-        "deal_strategy": misses(deals, inputs.strategies, {"deal_nmbr": "deal_nmbr"}),
-        "deal_buyer": misses(deals, inputs.members, {"buyer_id": "ip_id"}),
-        "deal_seller": misses(deals, inputs.members, {"seller_id": "ip_id"}),
-        "collateral_rate": misses(deals, rates, {"bond_id": "ri_id", "deal_dt": "deal_dt"}),
-    })
+    }).unionByName(misses_at_once(
+        marked, clean,
+        {"deal_buyer": (inputs.members, {"buyer_id": "ip_id"}),
+         "deal_seller": (inputs.members, {"seller_id": "ip_id"}),
+         "collateral_rate": (rates, {"bond_id": "ri_id", "deal_dt": "deal_dt"})},
+        {"deal_date": F.col("deal_dt").isNull(), "deal_amount": F.col("trade_amnt").isNull(),
+         "deal_strategy": clean & ~F.col("_labelled")}))
 
 
 def repo_misses(inputs: RepoInputs) -> DataFrame:
-    """Misses of the repo job, over confirmed deals."""
-    deals = repo.confirmed_deals(inputs)
+    """Misses of the repo job, over confirmed deals, which are gathered once."""
+    deals = flag_listed(repo.confirmed_deals(inputs), inputs.ratings, "trdng_ri_id", "_rated")
     rooted = inputs.members.where(
         F.col("rt_member_cd").isNotNull() & (F.col("rt_member_cd").cast("string") != ""))
     return miss_report({
@@ -42,12 +45,12 @@ def repo_misses(inputs: RepoInputs) -> DataFrame:
         "member_root": misses(rooted, inputs.members, {"rt_member_cd": "member_cd"}),
         "repo_deal_date": _empty(inputs.deals, "deal_dt"),
         "repo_deal_amount": _empty(inputs.deals, "trade_amnt"),
-        "deal_repo_party": misses(deals, inputs.members, {"repo_pty_id": "ip_id"}),
-        "deal_rvrse_party": misses(deals, inputs.members, {"rvrse_repo_pty_id": "ip_id"}),
-        "deal_product": _unlabelled(deals, "pd_cd"),
-        "deal_rating": misses(deals, inputs.ratings, {"trdng_ri_id": "trdng_ri_id"}),
         "collateral_bond": misses(inputs.collateral, inputs.bonds, {"bond_id": "bond_id"}),
-    })
+    }).unionByName(misses_at_once(
+        deals, F.lit(True),
+        {"deal_repo_party": (inputs.members, {"repo_pty_id": "ip_id"}),
+         "deal_rvrse_party": (inputs.members, {"rvrse_repo_pty_id": "ip_id"})},
+        {"deal_product": F.col("pd_cd") == labels.MISSING, "deal_rating": ~F.col("_rated")}))
 
 
 def _unlabelled(df: DataFrame, label: str) -> DataFrame:

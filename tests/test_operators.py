@@ -96,6 +96,24 @@ def test_misses(spark):
     assert quality.misses(facts.where("k = 2"), dim, {"k": "id"}).first().misses == 0
 
 
+def test_misses_at_once(spark):
+    """The same counts as one by one, with null keys, keys listed twice and rows that do not count."""
+    schema = "k int, name string, ok boolean"
+    data = [(1, "a", True), (1, "a", True), (2, None, True), (None, "b", True), (3, "c", False), (3, "a", None)]
+    known = spark.createDataFrame([(2,), (2,), (None,)], "id int")
+    pairs = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "i int, n string")
+    lookups = {"key": (known, {"k": "id"}), "pair": (pairs, {"k": "i", "name": "n"})}
+    conditions = {"unnamed": F.col("name").isNull(), "odd": F.col("k") % 2 == 1}
+    for facts, expected in ((data, {"key": 3, "pair": 2, "unnamed": 1, "odd": 4}),
+                            ([], {"key": 0, "pair": 0, "unnamed": 0, "odd": 0})):
+        facts = spark.createDataFrame(facts, schema)
+        got = quality.misses_at_once(facts, F.col("ok"), lookups, conditions)
+        assert {r.counter: r.misses for r in got.collect()} == expected
+        counted = facts.where("ok")
+        assert {name: quality.misses(counted, *lookup).first().misses for name, lookup in lookups.items()} == {
+            name: expected[name] for name in lookups}
+
+
 def test_watched_counters(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, None), (None, "a"), (9, "c")], "k int, name string")
     known = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int")
