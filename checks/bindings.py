@@ -131,7 +131,7 @@ def bond_deals(t: Tables) -> DataFrame:
         "o_orderkey", "c_nationkey")
     # and as narrow as the deals are, since all of them travel
     deals = t.lineitem.select(
-        F.col("l_orderkey").alias("bond_deal_id"),
+        "l_orderkey",
         (F.col("l_partkey") % 25).cast("int").alias("seller_id"),
         F.col("l_suppkey").alias("bond_id"),
         first_day("quarter", "l_shipdate").alias("deal_dt"),
@@ -142,10 +142,10 @@ def bond_deals(t: Tables) -> DataFrame:
         decimal("l_discount", 9, 4).alias("ytm_rate"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
         .alias("trade_amnt"),
-    ).join(broadcast_if_small(buyers), F.col("bond_deal_id") == F.col("o_orderkey"))
+    ).join(broadcast_if_small(buyers), F.col("l_orderkey") == F.col("o_orderkey"))
     return deals.select(
-        "bond_deal_id",
-        F.col("bond_deal_id").alias("deal_nmbr"),
+        F.col("l_orderkey").alias("bond_deal_id"),
+        F.col("l_orderkey").alias("deal_nmbr"),
         F.col("c_nationkey").alias("buyer_id"),
         "seller_id", "bond_id", "deal_dt", "st",
         F.lit("CNY").alias("instmt_crncy"),
